@@ -122,16 +122,25 @@ def candidates(index: TextIndex, query: TextQuery, fields: Sequence[str]) -> Dat
     """Postings of the query's terms, with the statistics of each exact term.
 
     The statistics are one row per (dimension, field, term of the query), so
-    their size does not depend on the data.
+    their size does not depend on the data. A term the statistics do not know
+    yet counts as occurring in one document.
     """
     wanted = disjunction(_same_term(a) for a in query.atoms)
     in_fields = F.col("field").isin(list(fields))
     exact = sorted({t for a in query.atoms if a.kind != "prefix" for t in a.terms})
     postings = index.postings.where(in_fields & wanted)
-    stats = index.term_stats.where(in_fields & F.col("term").isin(exact)).join(
-        F.broadcast(index.field_stats.where(in_fields)), ["dimension", "field"]
+    known = index.term_stats.where(in_fields & F.col("term").isin(exact))
+    return (
+        postings.join(F.broadcast(known), ["dimension", "field", "term"], "left")
+        .join(F.broadcast(index.field_stats.where(in_fields)), ["dimension", "field"], "left")
+        .withColumns(
+            {
+                "df": F.coalesce("df", F.lit(1)),
+                "n_docs": F.coalesce("n_docs", F.lit(1)),
+                "avg_dl": F.coalesce("avg_dl", F.col("dl").cast("double")),
+            }
+        )
     )
-    return postings.join(F.broadcast(stats), ["dimension", "field", "term"], "left")
 
 
 def _phrase_count(atom: Atom, name: str) -> Column:

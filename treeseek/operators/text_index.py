@@ -156,22 +156,18 @@ def load(spark: SparkSession, path: str, analyzers: AnalyzerSet | None = None) -
     )
 
 
-def merge_stats(
-    stats: DataFrame, before: DataFrame, after: DataFrame
-) -> DataFrame:
-    """Term statistics after a batch: old counts, less the old postings of the
-    touched documents, plus their new ones."""
-    change = (
-        before.groupBy("dimension", "field", "term").agg((-F.count("*")).alias("df"))
-        .unionByName(after.groupBy("dimension", "field", "term").agg(F.count("*").alias("df")))
-    )
-    return (
-        stats.select("dimension", "field", "term", "df")
-        .unionByName(change)
-        .groupBy("dimension", "field", "term")
-        .agg(F.sum("df").alias("df"))
-        .where(F.col("df") > 0)
+def stats_change(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a batch does to the statistics: (terms, fields), as sums to add.
+
+    ``before`` and ``after`` are the postings of the touched documents only.
+    """
+    signed = before.withColumn("sign", F.lit(-1)).unionByName(after.withColumn("sign", F.lit(1)))
+    terms = signed.groupBy("dimension", "field", "term").agg(F.sum("sign").alias("df")).where(F.col("df") != 0)
+    lengths = signed.select("sign", "dimension", "workspace", "doc_id", "field", "dl").distinct()
+    fields = lengths.groupBy("dimension", "field").agg(
+        F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("dl")).alias("total_dl")
     )
+    return terms, fields
 
 
 def restrict(index: TextIndex, dimensions: Iterable[str]) -> TextIndex:

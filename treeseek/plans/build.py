@@ -37,6 +37,7 @@ class Built:
 
     docs: DataFrame
     parts: DataFrame
+    tree: DataFrame
     text: TextIndex
     errors: DataFrame
     lost_parts: DataFrame
@@ -73,7 +74,7 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     text = page_index(chunks, config)
     fulltext = rollup.to_buckets(rollup.roll_up(chunks)).withColumnRenamed("root_id", "node_id")
     docs = good.join(fulltext, list(KEYS), "left")
-    return Built(docs, chunks.drop("chunk"), text, bad, lost, tree.unreachable)
+    return Built(docs, chunks.drop("chunk"), tree.nodes, text, bad, lost, tree.unreachable)
 
 
 def page_index(chunks: DataFrame, config: BuildConfig) -> TextIndex:

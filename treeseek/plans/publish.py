@@ -16,16 +16,31 @@ from pyspark.sql import functions as F
 
 from treeseek.errors import PublishError
 from treeseek.functions.analysis import AnalyzerSet
-from treeseek.operators.text_index import TextIndex, lay_out, term_stats
+from treeseek.operators.text_index import TextIndex, field_stats, lay_out, stats_change, term_stats
 from treeseek.plans.build import Built
 from treeseek.plans.search import SearchIndex
 
 _NAME = re.compile(r"[a-z][a-z0-9_]*")
 _VERSION = re.compile(r"[a-z0-9]+")
-KINDS = ("docs", "parts", "postings", "field_stats", "term_stats", "errors")
+KINDS = ("docs", "parts", "tree", "postings", "field_stats", "term_stats", "errors")
+# Kinds that take changes: what they are keyed by, next to workspace and dimension.
+CHANGING = {"docs": "node_id", "parts": "part_node_id", "postings": "doc_id", "tree": "node_id"}
 _EVENT = "alias string, version string, index_name string, dimension string, event string, at timestamp"
 
 
+# Statistics change by sums: documents and terms that came or went.
+_DELTAS = {
+    "field_stats": "dimension string, field string, n_docs bigint, total_dl bigint",
+    "term_stats": "dimension string, field string, term string, df bigint",
+}
+# Columns of a change: its place in the order, and the batch it came with.
+_MARKS = {"seq": "bigint", "batch": "bigint"}
+
+
+def _key(kind: str) -> tuple[str, str, str]:
+    return ("workspace", "dimension", CHANGING[kind])
+
+
 def index_names_with_postfix(names: DataFrame, postfix: str, column: str = "index_name") -> DataFrame:
     """Names that end in the postfix, whatever the prefix holds."""
     return names.where(F.col(column).endswith("-" + postfix))
@@ -137,6 +152,15 @@ class IndexStore:
         vocabulary = term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         self._write(vocabulary, version, "term_stats")
         self._write(built.errors, version, "errors")
+        self._write(built.tree, version, "tree")
+        for kind in ("field_stats", "term_stats"):
+            deltas = self.spark.createDataFrame([], _DELTAS[kind] + ", batch bigint")
+            self._write(deltas, version, f"{kind}_changes", ("batch",))
+        for kind in CHANGING:
+            empty = self.spark.table(self._table(version, kind)).limit(0)
+            marked = empty.withColumns({c: F.lit(None).cast(t) for c, t in _MARKS.items()})
+            self._write(marked, version, f"{kind}_changes", ("batch",))
+            self._write(self._keys(marked, kind).limit(0), version, f"{kind}_replaced", ("batch",))
         dimensions = self.spark.table(self._table(version, "docs")).select("dimension").distinct()
         self._record(self._event(version, dimensions, "created"))
         return version
@@ -155,23 +179,111 @@ class IndexStore:
             raise PublishError(f"version {version} does not exist")
         for kind in KINDS:
             view = self.alias if kind == "docs" else f"{self.alias}_{kind}"
-            self._view(view, self._table(version, kind))
-        self._view(f"{self.alias}_v_{version}", self._table(version, "docs"))
+            self._view(view, self._current(version, kind))
+        self._view(f"{self.alias}_v_{version}", self._current(version, "docs"))
         rows = self.spark.table(self._table(version, "docs")).select("dimension").distinct()
         # One name per configured dimension: a short list.
         for (dimension,) in rows.collect():
             safe = re.sub(r"[^A-Za-z0-9_]", "_", dimension)
-            self._view(f"{self.alias}_in_{safe}", self._table(version, "docs"), f"dimension = '{dimension}'")
+            quoted = dimension.replace("'", "\\'")
+            self._view(f"{self.alias}_in_{safe}", self._current(version, "docs"), f"dimension = '{quoted}'")
         self._record(self._event(version, rows, "live"))
 
-    def _view(self, name: str, table: str, condition: str | None = None) -> None:
+    def _view(self, name: str, source: str, condition: str | None = None) -> None:
         where = f" WHERE {condition}" if condition else ""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {table}{where}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {source}{where}")
+
+    def _current(self, version: str, kind: str, before: int | None = None) -> str:
+        """The base with the changes over it: replaced rows out, the last new ones in.
+
+        Filters on the view reach both sides, so a lookup prunes the base as if
+        there were no changes. ``before`` leaves out that batch and later ones.
+        """
+        base = self._table(version, kind)
+        seen = "true" if before is None else f"batch < {int(before)}"
+        if kind == "term_stats":
+            return (
+                f"(SELECT dimension, field, term, sum(df) AS df FROM (SELECT dimension, field, term, df FROM {base} "
+                f"UNION ALL SELECT dimension, field, term, df FROM {base}_changes WHERE {seen}) "
+                f"GROUP BY dimension, field, term HAVING sum(df) > 0)"
+            )
+        if kind == "field_stats":
+            return (
+                f"(SELECT dimension, field, sum(n_docs) AS n_docs, sum(total_dl) / sum(n_docs) AS avg_dl FROM "
+                f"(SELECT dimension, field, n_docs, n_docs * avg_dl AS total_dl FROM {base} "
+                f"UNION ALL SELECT dimension, field, n_docs, total_dl FROM {base}_changes WHERE {seen}) "
+                f"GROUP BY dimension, field HAVING sum(n_docs) > 0)"
+            )
+        if kind not in CHANGING:
+            return base
+        names = [f"`{c}`" for c in self.spark.table(base).columns]
+        keys = _key(kind)
+        same = " AND ".join(f"b.{k} = r.{k}" for k in keys)
+        new = " AND ".join(f"c.{k} = r.{k}" for k in keys)
+        last = f"(SELECT {', '.join(keys)}, max(seq) AS seq FROM {base}_replaced WHERE {seen} GROUP BY {', '.join(keys)})"
+        return (
+            f"(SELECT {', '.join('b.' + n for n in names)} FROM {base} b LEFT ANTI JOIN "
+            f"(SELECT * FROM {base}_replaced WHERE {seen}) r ON {same} "
+            f"UNION ALL SELECT {', '.join('c.' + n for n in names)} FROM "
+            f"(SELECT * FROM {base}_changes WHERE {seen}) c LEFT SEMI JOIN {last} r ON {new} AND c.seq = r.seq)"
+        )
+
+    def _keys(self, marked: DataFrame, kind: str) -> DataFrame:
+        return marked.select(*_key(kind), *_MARKS)
+
+    def update(
+        self,
+        batch_id: int,
+        changes: Mapping[str, tuple[DataFrame, DataFrame]],
+        postings: tuple[DataFrame, DataFrame] | None = None,
+    ) -> None:
+        """Put a batch of changes over the live version; views and version stay.
+
+        ``changes``: per kind the keys that are replaced and the rows that take
+        their place, both with ``seq``. ``postings``: those of the replaced
+        documents before and after, for the statistics. A batch that is sent
+        again replaces itself.
+        """
+        version = self.live_version()
+        if version is None:
+            raise PublishError(f"index {self.alias} has no live version")
+        unknown = set(changes) - set(CHANGING)
+        if unknown:
+            raise PublishError(f"these tables take no changes: {sorted(unknown)}")
+        for kind, (replaced, rows) in changes.items():
+            for part, df in (("changes", rows), ("replaced", replaced)):
+                marked = df.withColumn("seq", F.col("seq").cast("bigint"))
+                self._put(marked, f"{self._table(version, kind)}_{part}", batch_id)
+        if postings is not None:
+            for kind, deltas in zip(("term_stats", "field_stats"), stats_change(*postings)):
+                self._put(deltas, f"{self._table(version, kind)}_changes", batch_id)
+
+    def _put(self, df: DataFrame, target: str, batch_id: int) -> None:
+        marked = df.withColumn("batch", F.lit(int(batch_id)).cast("bigint"))
+        marked.select(self.spark.table(target).columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(target)
+
+    def compact(self, version: str | None = None) -> str:
+        """Fold the changes into a new version and make it live."""
+        live = self.live_version()
+        if live is None:
+            raise PublishError(f"index {self.alias} has no live version")
+        current = {k: self.spark.table(f"{self.database}.{self.alias}_{k}") for k in KINDS if k != "docs"}
+        docs = self.spark.table(f"{self.database}.{self.alias}")
+        lengths = current["postings"].select("dimension", "doc_id", "field", "dl").distinct()
+        text = TextIndex(current["postings"], field_stats(lengths), term_stats(current["postings"]), self.analyzers)
+        none = current["errors"].limit(0)
+        built = Built(docs, current["parts"], current["tree"], text, current["errors"], none, none)
+        created = self.create(built, version)
+        self.make_live(created)
+        return created
 
     def _drop(self, version: str) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self.database}.{self.alias}_v_{version}")
         for kind in KINDS:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version, kind)}")
+            for suffix in ("", "_changes", "_replaced"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version, kind)}{suffix}")
 
     def remove_old(self) -> DataFrame:
         """Drop all versions but the live one; other names are never touched."""
@@ -200,8 +312,10 @@ class IndexStore:
         docs = self.spark.table(f"{self.database}.{self.alias}")
         return SearchIndex(docs, text, dict(workspaces or {"live": None}))
 
-    def parts(self) -> DataFrame:
-        return self.spark.table(f"{self.database}.{self.alias}_parts")
-
-    def errors(self) -> DataFrame:
-        return self.spark.table(f"{self.database}.{self.alias}_errors")
+    def current(self, kind: str, before: int | None = None) -> DataFrame:
+        """A table of the live index, as it was before a batch if one is given."""
+        if kind not in KINDS:
+            raise PublishError(f"no such table: {kind}")
+        if before is not None:
+            return self.spark.sql(f"SELECT * FROM {self._current(self.live_version(), kind, before)}")
+        return self.spark.table(f"{self.database}.{self.alias}" + ("" if kind == "docs" else f"_{kind}"))
