@@ -1 +1,13 @@
 """Scalar functions: each takes and returns Columns, or prepares a literal."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))

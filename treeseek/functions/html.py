@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from treeseek.functions import let
+
 # Buckets, and the patterns that take HTML apart.
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BUCKETS = (*HEADINGS, "text")
@@ -39,22 +41,25 @@ def buckets(html: Column) -> Column:
     A heading goes to the bucket of its level, several of one level joined by a
     blank; everything else is text. Script, style and comments never count.
     """
-    shown = visible(F.coalesce(html, F.lit("")))
-    fields = [
-        plain(F.array_join(F.regexp_extract_all(shown, F.lit(heading_pattern(tag)), F.lit(1)), " ")).alias(tag)
-        for tag in HEADINGS
-    ]
-    rest = plain(F.regexp_replace(shown, ANY_HEADING, " ")).alias("text")
-    return F.struct(*fields, rest)
+
+    def split(shown: Column) -> Column:
+        fields = [
+            plain(F.array_join(F.regexp_extract_all(shown, F.lit(heading_pattern(tag)), F.lit(1)), " ")).alias(tag)
+            for tag in HEADINGS
+        ]
+        rest = plain(F.regexp_replace(shown, ANY_HEADING, " ")).alias("text")
+        return F.struct(*fields, rest)
+
+    return let(visible(F.coalesce(html, F.lit(""))), split)
 
 
 def bucket_rows(html: Column) -> Column:
     """The non-empty buckets as array<struct<bucket,text>>."""
-    split = buckets(html)
-    rows = F.array(
-        *[F.struct(F.lit(b).alias("bucket"), split.getField(b).alias("text")) for b in BUCKETS]
-    )
-    return F.filter(rows, lambda r: F.length(r["text"]) > 0)
+
+    def rows(split: Column) -> Column:
+        return F.array(*[F.struct(F.lit(b).alias("bucket"), split.getField(b).alias("text")) for b in BUCKETS])
+
+    return F.filter(let(buckets(html), rows), lambda r: F.length(r["text"]) > 0)
 
 
 def into(bucket: str, value: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from treeseek.functions.paths import ancestors
 from treeseek.model import KEYS, TAG_DISABLED, TAG_REMOVED
 from treeseek.operators.skew import hot_keys, join_unique
-from treeseek.session import materialise
+from treeseek.session import materialise, materialise_counted
 
 _SCOPE = ("workspace", "dimension")
 _PARENT = (*_SCOPE, "parent_id")
@@ -86,21 +86,21 @@ def resolve(nodes: DataFrame, types: DataFrame | None = None, above: DataFrame |
     moved or changed subtree is resolved alone.
     """
     edges = materialise(_edges(nodes, types), "tree-edges")
-    counts = materialise(
+    counts, n_parents = materialise_counted(
         edges.where(F.col("parent_id").isNotNull()).groupBy(*_PARENT).agg(F.count("*").alias("n")),
         "tree-parents",
     )
-    hot = hot_keys(counts, _PARENT)
+    hot = hot_keys(counts, _PARENT) if n_parents else None
     parents = counts.select(*_SCOPE, F.col("parent_id").alias("node_id"))
     inner = materialise(edges.join(parents, list(KEYS), "left_semi"), "tree-inner")
 
     start = _start(inner)
     if above is not None:
         start = start.unionByName(_descend(inner, above, hot))
-    frontier = materialise(start, "tree-level")
+    frontier, reached = materialise_counted(start, "tree-level")
     levels = [frontier]
-    while not frontier.isEmpty():
-        frontier = materialise(_descend(inner, frontier, hot), "tree-level")
+    while reached:
+        frontier, reached = materialise_counted(_descend(inner, frontier, hot), "tree-level")
         levels.append(frontier)
     paths = levels[0] if above is None else levels[0].unionByName(above.select(levels[0].columns))
     for level in levels[1:]:
@@ -122,8 +122,8 @@ def closure_of(edges: DataFrame) -> DataFrame:
     step = edges.where("supertype is not null").select(F.col("type").alias("ancestor"), "supertype")
     while True:
         found = frontier.join(step, "ancestor").select("type", F.col("supertype").alias("ancestor")).distinct()
-        frontier = materialise(found.join(reached, ["type", "ancestor"], "left_anti"), "types")
-        if frontier.isEmpty():
+        frontier, new = materialise_counted(found.join(reached, ["type", "ancestor"], "left_anti"), "types")
+        if not new:
             return reached
         reached = materialise(reached.unionByName(frontier), "types")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from treeseek.functions import let
 from treeseek.model import HIGHLIGHT_COUNT, HIGHLIGHT_NO_MATCH, HIGHLIGHT_SIZE
 from treeseek.operators.relevance import TextQuery
 
@@ -56,7 +57,7 @@ def highlight(
     if count is not None:
         hits = F.slice(hits, 1, max(1, count))
     marked = F.transform(hits, lambda f: F.regexp_replace(f, pattern, "<em>$0</em>"))
-    return F.when(F.size(marked) > 0, marked).otherwise(start)
+    return let(marked, lambda found: F.when(F.size(found) > 0, found).otherwise(start))
 
 
 def highlight_columns(fields: Sequence[tuple[str, int, int | None, int]], query: TextQuery) -> Column:

@@ -19,10 +19,12 @@ SHARE = 2000
 FLOOR = 100_000
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], floor: int = FLOOR) -> DataFrame:
-    """From (keys, n): the hot keys and into how many pieces to split each."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(floor, total // SHARE)
+def hot_keys(counts: DataFrame, keys: Sequence[str], floor: int | None = None) -> DataFrame | None:
+    """From (keys, n): the hot keys and into how many pieces to split each; None if there are none."""
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(FLOOR if floor is None else floor, (total or 0) // SHARE)
+    if (largest or 0) <= limit:
+        return None
     return counts.where(F.col("n") > limit).select(
         *keys, F.ceil(F.col("n") / limit).cast("int").alias("_pieces")
     )
@@ -32,7 +34,7 @@ def join_unique(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    hot: DataFrame,
+    hot: DataFrame | None,
     spread: Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
@@ -42,6 +44,8 @@ def join_unique(
     the one row of ``right`` is repeated once per piece.
     """
     keys = list(keys)
+    if hot is None:
+        return left.join(right, keys, how)
     small = F.broadcast(hot)
     dealt = left.join(small, keys, "left").withColumn(
         "_piece",

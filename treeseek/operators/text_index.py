@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.functions.analysis import AnalyzerSet
+from treeseek.session import materialise, spread
 
 SCOPE = ("dimension", "workspace")
 
@@ -106,11 +107,14 @@ def invert_parts(located_parts: DataFrame) -> DataFrame:
     )
 
 
-def field_stats(lengths: DataFrame) -> DataFrame:
-    """Documents with the field and their mean length, from (dimension, field, dl)."""
-    return lengths.groupBy("dimension", "field").agg(
-        F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl")
-    )
+def field_stats(postings: DataFrame) -> DataFrame:
+    """Documents with the field and their mean length.
+
+    Every document has exactly one posting at position 0 of a field, so its
+    length is counted there, without bringing its postings together.
+    """
+    first = postings.where(F.get("positions", F.lit(0)) == 0)
+    return first.groupBy("dimension", "field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -121,10 +125,8 @@ def term_stats(postings: DataFrame) -> DataFrame:
 def build(docs: DataFrame, fields: Mapping[str, Column], analyzers: AnalyzerSet | None = None) -> TextIndex:
     """A lazy index over documents that hold their text themselves."""
     analyzers = analyzers or AnalyzerSet()
-    tokenised = tokenise(docs, fields, analyzers)
-    postings = invert(tokenised)
-    lengths = tokenised.select("dimension", "field", F.size("tokens").alias("dl"))
-    return TextIndex(postings, field_stats(lengths), term_stats(postings), analyzers)
+    postings = invert(tokenise(spread(docs), fields, analyzers))
+    return TextIndex(postings, field_stats(postings), term_stats(postings), analyzers)
 
 
 def lay_out(postings: DataFrame) -> DataFrame:
@@ -136,11 +138,16 @@ def lay_out(postings: DataFrame) -> DataFrame:
 
 
 def save(index: TextIndex, path: str) -> TextIndex:
-    """Write the index once and read it back; statistics come from the stored postings."""
+    """Write the index once and read it back; statistics come from the stored postings.
+
+    The postings are written before they are put in order: finding the ranges
+    reads the rows twice, and they should not be made twice for it.
+    """
     spark = index.postings.sparkSession
-    lay_out(index.postings).write.mode("errorifexists").partitionBy("dimension").parquet(f"{path}/postings")
+    made = materialise(index.postings, "postings")
+    lay_out(made).write.mode("errorifexists").partitionBy("dimension").parquet(f"{path}/postings")
     stored = spark.read.parquet(f"{path}/postings")
-    index.field_stats.write.mode("errorifexists").parquet(f"{path}/field_stats")
+    field_stats(stored).write.mode("errorifexists").parquet(f"{path}/field_stats")
     term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode(
         "errorifexists"
     ).parquet(f"{path}/term_stats")

@@ -73,7 +73,7 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     chunks = rollup.chunked(parts)
     text = page_index(chunks, config)
     fulltext = rollup.to_buckets(rollup.roll_up(chunks)).withColumnRenamed("root_id", "node_id")
-    docs = good.join(fulltext, list(KEYS), "left")
+    docs = materialise(good.join(fulltext, list(KEYS), "left"), "documents")
     return Built(docs, chunks.drop("chunk"), tree.nodes, text, bad, lost, tree.unreachable)
 
 
@@ -92,7 +92,7 @@ def page_index(chunks: DataFrame, config: BuildConfig) -> TextIndex:
 
     located = materialise(rollup.with_offsets(chunks, tokens), "located-parts")
     inverted = text_index.invert_parts(located)
-    postings = inverted.select(
+    postings = materialise(inverted.select(
         config.doc_id(F.col("root_id"), F.col("workspace"), F.col("dimension")).alias("doc_id"),
         *text_index.SCOPE,
         "field",
@@ -100,13 +100,8 @@ def page_index(chunks: DataFrame, config: BuildConfig) -> TextIndex:
         "tf",
         "positions",
         "dl",
-    )
-    lengths = (
-        located.where(F.col("dl") > 0)
-        .groupBy(*rollup.ROOT, F.col("bucket").alias("field"))
-        .agg(F.max("dl").alias("dl"))
-    )
-    return TextIndex(postings, text_index.field_stats(lengths), text_index.term_stats(postings), config.analyzers)
+    ), "postings")
+    return TextIndex(postings, text_index.field_stats(postings), text_index.term_stats(postings), config.analyzers)
 
 
 def reindex_node(nodes: DataFrame, config: BuildConfig, resolved: DataFrame, node_id: str) -> DataFrame:

@@ -271,8 +271,8 @@ class IndexStore:
             raise PublishError(f"index {self.alias} has no live version")
         current = {k: self.spark.table(f"{self.database}.{self.alias}_{k}") for k in KINDS if k != "docs"}
         docs = self.spark.table(f"{self.database}.{self.alias}")
-        lengths = current["postings"].select("dimension", "doc_id", "field", "dl").distinct()
-        text = TextIndex(current["postings"], field_stats(lengths), term_stats(current["postings"]), self.analyzers)
+        postings = current["postings"]
+        text = TextIndex(postings, field_stats(postings), term_stats(postings), self.analyzers)
         none = current["errors"].limit(0)
         built = Built(docs, current["parts"], current["tree"], text, current["errors"], none, none)
         created = self.create(built, version)

@@ -11,7 +11,7 @@ from treeseek.operators import hierarchy, mapping, projection, rollup, text_inde
 from treeseek.registry import query
 from treeseek.registry.data import TREE_SQL, documents, table, tree, tree_nodes
 from treeseek.registry.fulltext import _BUCKET_SQL
-from treeseek.session import materialise
+from treeseek.session import materialise, spread
 from treeseek.sources import assets
 
 
@@ -86,7 +86,7 @@ def resolve_in_target(spark, sf_dir):
 
 def page_documents(spark, sf_dir):
     """HTML pages as search documents with their buckets."""
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("doc_id"),
         F.col("page_id").cast("string").alias("node_id"),
         F.lit(LIVE).alias("workspace"),
@@ -102,7 +102,7 @@ def page_documents(spark, sf_dir):
     SELECT page_id, field AS bucket, text FROM buckets WHERE text <> ''""",
 )
 def html_buckets(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.inline(html.bucket_rows(F.col("html"))))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", F.inline(html.bucket_rows(F.col("html"))))
 
 
 @query(

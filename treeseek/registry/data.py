@@ -73,6 +73,19 @@ def document_index(spark: SparkSession, sf_dir: str) -> TextIndex:
     return _indexes[key]
 
 
+def page_index(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """The text index of the HTML pages with their buckets, kept likewise."""
+    from treeseek.registry.building import page_documents
+
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/pages")
+    if key not in _indexes:
+        lazy = text_index.build(
+            page_documents(spark, sf_dir), {b: F.col(f"fulltext.{b}") for b in FIELD_BOOSTS}
+        )
+        _indexes[key] = text_index.save(lazy, scratch_path(spark, "page-index"))
+    return _indexes[key]
+
+
 def document_search(spark: SparkSession, sf_dir: str, hidden: bool = False) -> SearchIndex:
     return SearchIndex(
         documents(spark, sf_dir, hidden), document_index(spark, sf_dir), boosts={"text": FIELD_BOOSTS["text"]}

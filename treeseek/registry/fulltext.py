@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from treeseek.functions.analysis import Analyzer
-from treeseek.operators import relevance, similar, suggest, text_index
+from treeseek.operators import relevance, similar, suggest
 from treeseek.operators.highlight import highlight
 from treeseek.operators.relevance import TextQuery
 from treeseek.plans.search import Search
 from treeseek.registry import query
-from treeseek.registry.data import TOKENS_SQL, document_index, document_search, documents, lazy_index, table
+from treeseek.registry.data import (
+    TOKENS_SQL,
+    document_index,
+    document_search,
+    documents,
+    lazy_index,
+    page_index,
+    table,
+)
 
 TEXT = {"text": 1.0}
 
@@ -227,11 +235,7 @@ parts AS (
 )
 def bm25_buckets(spark, sf_dir):
     """Best field with bucket weights, over HTML pages."""
-    from treeseek.registry.building import page_documents
-
-    docs = page_documents(spark, sf_dir)
-    index = text_index.build(docs, {b: F.col(f"fulltext.{b}") for b in relevance.FIELD_BOOSTS})
-    return relevance.score(index, TextQuery.words("ther tion und elle"))
+    return relevance.score(page_index(spark, sf_dir), TextQuery.words("ther tion und elle"))
 
 
 @query(

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,16 +54,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     )
 
 
-def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The copy outlives a lost executor and cuts the lineage, and later readers
     still get column pruning and filter push-down from Parquet.
     """
+    return materialise_counted(df, label)[0]
+
+
+def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As :func:`materialise`, with the number of rows, counted while writing."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many tasks as there are cores.
+
+    For work that costs much per row on input of few splits, such as one file
+    with one row group. Input with enough splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -46,7 +46,7 @@ def fields(text: Column, name: Column, length: Column) -> Column:
     is_html = text.rlike(r"(?is)<(?:!doctype|html|head|body)[\s>]")
     without_head = F.regexp_replace(visible(text), r"(?is)<head[^>]*>.*?</head>", " ")
     content = F.when(is_html, plain(without_head)).otherwise(F.trim(text))
-    content = F.when(F.length(content) > ASSET_TEXT_LIMIT, F.substring(content, 1, ASSET_TEXT_LIMIT)).otherwise(content)
+    content = F.substring(content, 1, ASSET_TEXT_LIMIT)
     language = F.nullif(F.regexp_extract(text, r'(?is)<html[^>]*\slang=["\']([^"\']*)["\']', 1), F.lit(""))
     return F.struct(
         content.alias("content"),
