@@ -19,6 +19,13 @@ SEPARATORS = {
     "letter": r"[^\p{L}]+",
 }
 
+# Default articles and stop words of the filters.
+FRENCH_ARTICLES = ("l", "m", "t", "qu", "n", "s", "j", "d", "c", "jusqu", "quoiqu", "lorsqu", "puisqu")
+ENGLISH_STOP_WORDS = (
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of",
+    "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with",
+)
+
 # Letters that fold to more than one ASCII letter or do not
 # decompose.
 WIDE_FOLDS = {
@@ -116,6 +123,33 @@ class AnalyzerSet:
     by_dimension: dict[str, Analyzer] = field(default_factory=dict)
     by_field: dict[str, Analyzer] = field(default_factory=dict)
 
+    @classmethod
+    def from_settings(cls, settings: dict[str, dict]) -> AnalyzerSet:
+        """From index settings per dimension, with ``default`` for the others:
+        ``{"tokenizer": "letter", "filter": ["asciifolding", "lowercase", "elision", "stop"],
+        "articles": [...], "stopwords": [...]}``."""
+
+        def one(spec: dict) -> Analyzer:
+            filters = spec.get("filter", ["lowercase"])
+            unknown = set(filters) - {"asciifolding", "lowercase", "elision", "stop"}
+            if unknown:
+                raise ValueError(f"unknown token filters: {sorted(unknown)}")
+            return Analyzer(
+                tokenizer=spec.get("tokenizer", "word"),
+                lowercase="lowercase" in filters,
+                fold="asciifolding" in filters,
+                elision=tuple(spec.get("articles", FRENCH_ARTICLES)) if "elision" in filters else (),
+                stop_words=tuple(spec.get("stopwords", ENGLISH_STOP_WORDS)) if "stop" in filters else (),
+            )
+
+        chosen = {name: one(spec["analysis"]) for name, spec in settings.items() if "analysis" in spec}
+        default = chosen.pop("default", Analyzer())
+        # A dimension with settings of its own does not fall back to the default analysis.
+        for name, spec in settings.items():
+            if name != "default" and "analysis" not in spec:
+                chosen[name] = Analyzer()
+        return cls(default, chosen)
+
     def pick(self, dimension: str | None = None, field_name: str | None = None) -> Analyzer:
         if field_name in self.by_field:
             return self.by_field[field_name]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ INTERVALS = {
 }
 # WindowGroupLimit thins a ranked window before its shuffle up to this many rows.
 _THINNED_BY_SPARK = 1000
+_BROADCAST_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,11 @@ class Aggregations:
                 added = added.add(child, child_spec, ".".join((*parent, name)))
         return added
 
+    @property
+    def fields(self) -> list[str]:
+        """Top-level columns that the aggregations read."""
+        return sorted({a.field.split(".")[0] for a in self.items})
+
     def children(self, path: tuple[str, ...]) -> list[Aggregation]:
         return [a for a in self.items if a.path[:-1] == path]
 
@@ -102,10 +109,13 @@ class Aggregations:
         metrics = [c for a in self.children(target.path) if a.type in METRIC_TYPES for c in metric_columns(docs, a)]
         grouped = keyed.groupBy(*keys).agg(F.count("*").alias("doc_count"), *metrics)
         parents = keys[:-1]
-        if parents:
-            # Parent buckets are limited in number, level by level.
+        limited = [a for a in levels[:-1] if a.type == "terms"]
+        if limited:
             above = done[".".join(target.path[:-1])].select(*parents)
-            grouped = grouped.join(F.broadcast(above), parents, "left_semi")
+            # Parent buckets are limited in number, level by level, if all are terms.
+            rows = math.prod(a.options.get("size") or DEFAULT_BUCKETS for a in limited)
+            small = len(limited) == len(parents) and rows <= _BROADCAST_BUCKETS
+            grouped = grouped.join(F.broadcast(above) if small else above, parents, "left_semi")
         return top_buckets(grouped, parents, target).select(*keys, "doc_count", *grouped.columns[len(keys) + 1 :])
 
 

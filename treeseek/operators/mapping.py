@@ -89,7 +89,7 @@ def conflicts(properties: DataFrame) -> DataFrame:
 
 def warnings(properties: DataFrame, known: DataFrame) -> DataFrame:
     """Properties whose declared type has no mapping, from (type, field, declared)."""
-    return properties.join(F.broadcast(known.select("declared")), "declared", "left_anti").select(
+    return properties.join(known.select("declared"), "declared", "left_anti").select(
         "type", "field", "declared"
     )
 

@@ -40,7 +40,7 @@ def indexable_report(types: DataFrame, settings: Mapping[str, bool] | None) -> D
 def with_type_closure(nodes: DataFrame, closure: DataFrame) -> DataFrame:
     """Adds ``type_closure``, from (type, ancestor) pairs of the configured types."""
     grouped = closure.groupBy("type").agg(F.array_sort(F.collect_set("ancestor")).alias("type_closure"))
-    return nodes.join(F.broadcast(grouped), "type", "left")
+    return nodes.join(grouped, "type", "left")
 
 
 def scope_to_live(nodes: DataFrame, index_all_workspaces: bool) -> DataFrame:

@@ -130,11 +130,12 @@ def build(docs: DataFrame, fields: Mapping[str, Column], analyzers: AnalyzerSet
 
 
 def lay_out(postings: DataFrame) -> DataFrame:
-    """Postings in ranges of (field, term), so that a term lookup reads few files.
+    """Postings in ranges of (dimension, field, term), so that a term lookup reads few files.
 
     Ranges also split a very common term over several files.
     """
-    return postings.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+    order = ("dimension", "field", "term", "doc_id")
+    return postings.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def save(index: TextIndex, path: str) -> TextIndex:

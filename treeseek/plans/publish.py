@@ -64,7 +64,7 @@ class IndexStore:
             raise PublishError(f"not an index name: {alias!r}")
         self.spark, self.alias, self.database = spark, alias, database
         self.settings = dict(settings or {})
-        self.analyzers = analyzers or AnalyzerSet()
+        self.analyzers = analyzers or AnalyzerSet.from_settings(self.settings)
 
     # Names
 

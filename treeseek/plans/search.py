@@ -1,5 +1,8 @@
-"""The query builder. Immutable: every call returns a new query; nothing runs
-before an action on one of the resulting DataFrames."""
+"""The query builder. Immutable: every call returns a new query.
+
+Nothing runs before an action on one of the resulting DataFrames, with one
+exception: more-like-this first fetches the few terms it searches for.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +29,8 @@ from treeseek.operators.aggregate import Aggregations
 from treeseek.operators.highlight import highlight_columns
 from treeseek.operators.overlay import chain, first_hit, overlay
 from treeseek.operators.relevance import TextQuery
-from treeseek.operators.text_index import TextIndex
+from treeseek.operators.text_index import TextIndex, restrict
+from treeseek.session import materialise
 
 DEFAULT_SELECT = ("path", "node_id")
 _BROADCAST_PAGE = 10_000
@@ -284,8 +288,9 @@ class Search:
             counts = similar.terms_of_strings(text, strings, fields)
         if nodes:
             # Looked up among the documents this query would see.
-            exclude = docs.where(F.col("node_id").isin(nodes)).select("doc_id")
-            found = similar.terms_of_documents(text, exclude, fields)
+            known = docs.where(F.col("node_id").isin(nodes))
+            exclude = known.select("doc_id")
+            found = similar.terms_of_documents(text, known, fields)
             both = found if counts is None else counts.unionByName(found)
             counts = both.groupBy("field", "term").agg(F.sum("tf").alias("tf"))
         matches = similar.more_like_this(text, counts, exclude, **options)
@@ -296,8 +301,6 @@ class Search:
             raise QueryError("this index has no full text")
         if not self.dimensions:
             return self.index.text
-        from treeseek.operators.text_index import restrict
-
         return restrict(self.index.text, self.dimensions)
 
     def condition(self) -> Column:
@@ -375,10 +378,14 @@ class SearchResult:
         rows = self.search.limit(1).hits().head(1)
         return rows[0] if rows else None
 
-    def aggregations(self) -> dict[str, DataFrame]:
-        if not self.search.aggregations_.items:
+    def aggregations(self, share: bool = False) -> dict[str, DataFrame]:
+        """A DataFrame per aggregation; ``share`` matches once for all of them,
+        by writing the few columns they read."""
+        asked = self.search.aggregations_
+        if not asked.items:
             return {}
-        return self.search.aggregations_.compute(self.search.matching())
+        matching = self.search.matching()
+        return asked.compute(materialise(matching.select(*asked.fields), "matching") if share else matching)
 
     def metrics(self) -> DataFrame | None:
         """The metrics without buckets, together in one row."""

@@ -54,6 +54,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     )
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder. For the end of a job:
+    DataFrames that were materialised cannot be read afterwards."""
+    folder = os.path.join(shared_dir(spark), spark.sparkContext.applicationId)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
