@@ -183,7 +183,7 @@ def metric_columns(docs: DataFrame, agg: Aggregation) -> list[Column]:
         return [F.approx_count_distinct(value, agg.options.get("rsd", 0.01)).alias(name)]
     if agg.type == "percentiles":
         wanted = [p / 100.0 for p in agg.options.get("percents", (1, 5, 25, 50, 75, 95, 99))]
-        return [F.percentile_approx(value, wanted, 10_000).alias(name)]
+        return [F.percentile_approx(value, wanted, agg.options.get("accuracy", 10_000)).alias(name)]
     simple = {"min": low, "max": high, "avg": mean, "sum": F.coalesce(total, F.lit(0)), "value_count": count}
     return [simple[agg.type].alias(name)]
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeseek.errors import QueryError
 from treeseek.functions.analysis import Analyzer
+from treeseek.operators.filters import disjunction
 
 # Options of a term suggestion.
 DEFAULTS = {"size": 5, "max_edits": 2, "prefix_length": 1, "min_word_length": 4, "suggest_mode": "missing"}
@@ -59,16 +59,15 @@ def suggest(
     open_tokens = asked.where(F.col("token_length") >= min_word_length)
     if suggest_mode == "missing":
         open_tokens = open_tokens.join(known, "token", "left_anti")
-    reach = reduce(
-        lambda a, b: a | b,
-        [
-            F.col("term").startswith(t[:prefix_length])
-            & F.length("term").between(len(t) - max_edits, len(t) + max_edits)
-            for t in tokens
-        ],
-        F.lit(False),
+    # Two conditions, so that the first one alone can be pushed down to Parquet.
+    starts = sorted({t[:prefix_length] for t in tokens})
+    starting = disjunction(F.col("term").startswith(s) for s in starts)
+    reach = disjunction(
+        F.col("term").startswith(t[:prefix_length])
+        & F.length("term").between(len(t) - max_edits, len(t) + max_edits)
+        for t in tokens
     )
-    words = of_field.where(reach).groupBy("term").agg(F.sum("df").alias("freq")).withColumn(
+    words = of_field.where(starting).where(reach).groupBy("term").agg(F.sum("df").alias("freq")).withColumn(
         "start", F.substring("term", 1, prefix_length)
     )
     # One row per token of the query text.

@@ -8,6 +8,8 @@ from treeseek.functions import html, ids
 from treeseek.functions.analysis import AnalyzerSet
 from treeseek.model import LIVE, NO_DIMENSION, NodeType, NodeTypes, Property
 from treeseek.operators import hierarchy, mapping, projection, rollup, text_index
+from treeseek.plans.build import BuildConfig, build
+from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.data import TREE_SQL, documents, table, tree, tree_nodes
 from treeseek.registry.fulltext import _BUCKET_SQL
@@ -220,6 +222,37 @@ def rollup_postings(spark, sf_dir):
     )
 
 
+@query(
+    "page_search",
+    rf"""WITH {_PARTS_SQL},
+    pages AS (SELECT root_id, bucket, string_agg(text, ' ' ORDER BY turn) AS text FROM parts GROUP BY ALL),
+    tokens AS (SELECT root_id, bucket,
+      list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') AS t FROM pages),
+    lengths AS (SELECT root_id, bucket, len(t) AS dl FROM tokens WHERE len(t) > 0),
+    postings AS (SELECT root_id, bucket, term, count(*) AS tf FROM (
+      SELECT root_id, bucket, unnest(t) AS term FROM tokens) GROUP BY ALL),
+    field_stats AS (SELECT bucket, count(*) AS n, avg(dl) AS avg_dl FROM lengths GROUP BY ALL),
+    term_stats AS (SELECT bucket, term, count(*) AS df FROM postings GROUP BY ALL),
+    scored AS (
+      SELECT p.root_id, p.bucket, sum(ln(1 + (f.n - s.df + 0.5) / (s.df + 0.5))
+        * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / f.avg_dl))) AS part
+      FROM postings p JOIN lengths l USING (root_id, bucket) JOIN field_stats f USING (bucket)
+      JOIN term_stats s USING (bucket, term) WHERE p.term IN ('ther', 'nicht', 'elle', 'tion') GROUP BY ALL)
+    SELECT root_id AS node_id, round(1 + max(CASE bucket WHEN 'h1' THEN 20 WHEN 'h2' THEN 12 ELSE 1 END * part), 6) AS score
+    FROM scored GROUP BY root_id""",
+)
+def page_search(spark, sf_dir):
+    """From nodes to ranked pages: the whole build, then a query with bucket weights."""
+    no_time = F.lit(None).cast("timestamp")
+    nodes = conversation_nodes(spark, sf_dir).withColumns(
+        {"created": no_time, "last_modified": no_time, "original_last_modified": no_time,
+         "hidden_in_menu": F.lit(False)}
+    )
+    built = build(nodes, BuildConfig(CONVERSATION_TYPES))
+    found = Search(SearchIndex(built.docs, built.text)).fulltext("ther nicht elle tion")
+    return found.matching().select("node_id", "score")
+
+
 @query(
     "tree_rollup",
     f"""WITH RECURSIVE {TREE_SQL},
