@@ -38,10 +38,13 @@ def _edges(nodes: DataFrame, flags: DataFrame | None) -> DataFrame:
         nodes = nodes.join(F.broadcast(flags.select("type", "fulltext_root")), "type", "left")
     elif "fulltext_root" not in nodes.columns:
         nodes = nodes.withColumn("fulltext_root", F.lit(False))
+    # The dimension a node was taken from, where it stands in for a missing variant.
+    origin = F.col("origin") if "origin" in nodes.columns else F.col("dimension")
     return nodes.select(
         *_SCOPE,
         "node_id",
         "parent_id",
+        origin.alias("origin"),
         F.concat_ws(":", position, F.col("node_id")).alias("own_order"),
         F.coalesce(F.col("fulltext_root"), F.lit(False)).alias("own_root"),
         F.array_contains(tags, TAG_DISABLED).alias("own_disabled"),
@@ -52,6 +55,7 @@ def _edges(nodes: DataFrame, flags: DataFrame | None) -> DataFrame:
 def _start(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("parent_id").isNull()).select(
         *KEYS,
+        "origin",
         F.col("node_id").alias("path"),
         F.col("own_order").alias("order_key"),
         F.lit(0).alias("depth"),
@@ -67,6 +71,7 @@ def _descend(edges: DataFrame, parents: DataFrame, hot: DataFrame) -> DataFrame:
     )
     return join_unique(edges, above, _PARENT, hot, spread=("node_id",)).select(
         *KEYS,
+        "origin",
         F.concat_ws("/", "up_path", "node_id").alias("path"),
         F.concat_ws("/", "up_order_key", "own_order").alias("order_key"),
         (F.col("up_depth") + 1).alias("depth"),

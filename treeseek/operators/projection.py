@@ -96,13 +96,15 @@ def project(
 ) -> DataFrame:
     """Search documents, without full text, of all indexable reachable nodes.
 
-    ``nodes`` and ``resolved`` meet on the full node key, which is unique on
-    both sides.
+    ``nodes`` and ``resolved`` meet on the key a node is stored under. A node
+    that also stands in for missing variants fans out here, in the one join
+    that its properties go through.
     """
     spark = nodes.sparkSession
     kept = nodes.where(indexable(F.col("type"), settings))
-    tree = resolved.where(~F.col("removed")).select(*KEYS, "path", "order_key", "closest_root", "disabled")
-    joined = kept.join(tree, list(KEYS)).join(
+    tree = resolved.where(~F.col("removed")).select(*KEYS, "origin", "path", "disabled")
+    stored = kept.withColumnRenamed("dimension", "origin")
+    joined = stored.join(tree, ["workspace", "origin", "node_id"]).join(
         F.broadcast(types.frame(spark).select("type", "type_closure")), "type", "left"
     )
     return joined.select(

@@ -61,12 +61,14 @@ def parts(extracted: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFra
     """The parts table, and the nodes with text but no root.
 
     A part is filed under its closest root, which may be the node itself. Parts
-    of hidden or removed nodes and empty parts are left out.
+    of hidden or removed nodes and empty parts are left out. Text is extracted
+    once per stored node and filed in every dimension that shows it.
     """
     tree = resolved.where(~F.col("removed") & ~F.col("disabled")).select(
-        *KEYS, F.col("closest_root").alias("root_id"), F.col("order_key").alias("part_order"), "path"
+        *KEYS, "origin", F.col("closest_root").alias("root_id"), F.col("order_key").alias("part_order"), "path"
     )
-    joined = extracted.where(F.length(F.trim("text")) > 0).join(tree, list(KEYS))
+    stored = extracted.where(F.length(F.trim("text")) > 0).withColumnRenamed("dimension", "origin")
+    joined = stored.join(tree, ["workspace", "origin", "node_id"])
     filed = joined.where(F.col("root_id").isNotNull()).select(
         *ROOT, F.col("node_id").alias("part_node_id"), "part_order", "bucket", F.trim("text").alias("text")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.functions.analysis import AnalyzerSet
-from treeseek.session import materialise, spread
+from treeseek.session import materialise
 
 SCOPE = ("dimension", "workspace")
 
@@ -125,7 +125,7 @@ def term_stats(postings: DataFrame) -> DataFrame:
 def build(docs: DataFrame, fields: Mapping[str, Column], analyzers: AnalyzerSet | None = None) -> TextIndex:
     """A lazy index over documents that hold their text themselves."""
     analyzers = analyzers or AnalyzerSet()
-    postings = invert(tokenise(spread(docs), fields, analyzers))
+    postings = invert(tokenise(docs, fields, analyzers))
     return TextIndex(postings, field_stats(postings), term_stats(postings), analyzers)
 
 

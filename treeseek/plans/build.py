@@ -49,11 +49,7 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     folder, so that an executor loss costs one step and not the build."""
     spark = nodes.sparkSession
     scoped = projection.publish_to_target(projection.scope_to_live(nodes, config.index_all_workspaces))
-    if config.variation:
-        edges = spark.createDataFrame(list(config.variation), "general string, special string, distance int")
-        scoped = specialise(scoped, edges)
-    types = config.types.frame(spark)
-    tree = hierarchy.resolve(scoped, types)
+    tree = hierarchy.resolve(skeleton(scoped, config), config.types.frame(spark))
 
     documents = projection.project(scoped, tree.nodes, config.types, config.type_settings, config.doc_id)
     if config.limit is not None:
@@ -77,6 +73,22 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     return Built(docs, chunks.drop("chunk"), tree.nodes, text, bad, lost, tree.unreachable)
 
 
+def skeleton(nodes: DataFrame, config: BuildConfig) -> DataFrame:
+    """The columns that place a node, in every dimension that shows it.
+
+    Only these go through the expansion and the tree; properties wait for the
+    projection.
+    """
+    slim = nodes.select(*KEYS, "parent_id", "type", "tags", "sort_index")
+    if not config.variation:
+        return slim
+    return specialise(slim, variation_frame(nodes.sparkSession, config))
+
+
+def variation_frame(spark, config: BuildConfig) -> DataFrame:
+    return spark.createDataFrame(list(config.variation), "general string, special string, distance int")
+
+
 def page_index(chunks: DataFrame, config: BuildConfig) -> TextIndex:
     """The text index of pages, straight from their parts."""
 

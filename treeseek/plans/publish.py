@@ -28,13 +28,15 @@ CHANGING = {"docs": "node_id", "parts": "part_node_id", "postings": "doc_id", "t
 _EVENT = "alias string, version string, index_name string, dimension string, event string, at timestamp"
 
 
+# Columns that rows are looked up by, next to the order the files are in.
+_LOOKED_UP = {"docs": ("doc_id", "node_id"), "tree": ("node_id",), "parts": ("part_node_id", "root_id")}
 # Statistics change by sums: documents and terms that came or went.
 _DELTAS = {
     "field_stats": "dimension string, field string, n_docs bigint, total_dl bigint",
     "term_stats": "dimension string, field string, term string, df bigint",
 }
-# Columns of a change: its place in the order, and the batch it came with.
-_MARKS = {"seq": "bigint", "batch": "bigint"}
+# The batch a change came with; a later batch wins over an earlier one.
+_BATCH = "batch"
 
 
 def _key(kind: str) -> tuple[str, str, str]:
@@ -152,15 +154,18 @@ class IndexStore:
         vocabulary = term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         self._write(vocabulary, version, "term_stats")
         self._write(built.errors, version, "errors")
-        self._write(built.tree, version, "tree")
+        tree = built.tree.repartitionByRange("dimension", "workspace", "path").sortWithinPartitions(
+            "dimension", "workspace", "path"
+        )
+        self._write(tree, version, "tree", ("dimension", "workspace"), max_records_per_file)
         for kind in ("field_stats", "term_stats"):
             deltas = self.spark.createDataFrame([], _DELTAS[kind] + ", batch bigint")
             self._write(deltas, version, f"{kind}_changes", ("batch",))
         for kind in CHANGING:
             empty = self.spark.table(self._table(version, kind)).limit(0)
-            marked = empty.withColumns({c: F.lit(None).cast(t) for c, t in _MARKS.items()})
-            self._write(marked, version, f"{kind}_changes", ("batch",))
-            self._write(self._keys(marked, kind).limit(0), version, f"{kind}_replaced", ("batch",))
+            marked = empty.withColumn(_BATCH, F.lit(None).cast("bigint"))
+            self._write(marked, version, f"{kind}_changes", (_BATCH,))
+            self._write(marked.select(*_key(kind), _BATCH), version, f"{kind}_replaced", (_BATCH,))
         dimensions = self.spark.table(self._table(version, "docs")).select("dimension").distinct()
         self._record(self._event(version, dimensions, "created"))
         return version
@@ -169,6 +174,8 @@ class IndexStore:
         writer = df.write.mode("overwrite").format("parquet").option("maxRecordsPerFile", max_records)
         if partitions:
             writer = writer.partitionBy(*partitions)
+        for column in _LOOKED_UP.get(kind, ()):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.saveAsTable(self._table(version, kind))
 
     def make_live(self, version: str | None) -> None:
@@ -220,17 +227,14 @@ class IndexStore:
         keys = _key(kind)
         same = " AND ".join(f"b.{k} = r.{k}" for k in keys)
         new = " AND ".join(f"c.{k} = r.{k}" for k in keys)
-        last = f"(SELECT {', '.join(keys)}, max(seq) AS seq FROM {base}_replaced WHERE {seen} GROUP BY {', '.join(keys)})"
+        last = f"(SELECT {', '.join(keys)}, max(batch) AS batch FROM {base}_replaced WHERE {seen} GROUP BY {', '.join(keys)})"
         return (
             f"(SELECT {', '.join('b.' + n for n in names)} FROM {base} b LEFT ANTI JOIN "
             f"(SELECT * FROM {base}_replaced WHERE {seen}) r ON {same} "
             f"UNION ALL SELECT {', '.join('c.' + n for n in names)} FROM "
-            f"(SELECT * FROM {base}_changes WHERE {seen}) c LEFT SEMI JOIN {last} r ON {new} AND c.seq = r.seq)"
+            f"(SELECT * FROM {base}_changes WHERE {seen}) c LEFT SEMI JOIN {last} r ON {new} AND c.batch = r.batch)"
         )
 
-    def _keys(self, marked: DataFrame, kind: str) -> DataFrame:
-        return marked.select(*_key(kind), *_MARKS)
-
     def update(
         self,
         batch_id: int,
@@ -240,7 +244,7 @@ class IndexStore:
         """Put a batch of changes over the live version; views and version stay.
 
         ``changes``: per kind the keys that are replaced and the rows that take
-        their place, both with ``seq``. ``postings``: those of the replaced
+        their place. ``postings``: those of the replaced
         documents before and after, for the statistics. A batch that is sent
         again replaces itself.
         """
@@ -252,14 +256,13 @@ class IndexStore:
             raise PublishError(f"these tables take no changes: {sorted(unknown)}")
         for kind, (replaced, rows) in changes.items():
             for part, df in (("changes", rows), ("replaced", replaced)):
-                marked = df.withColumn("seq", F.col("seq").cast("bigint"))
-                self._put(marked, f"{self._table(version, kind)}_{part}", batch_id)
+                self._put(df, f"{self._table(version, kind)}_{part}", batch_id)
         if postings is not None:
             for kind, deltas in zip(("term_stats", "field_stats"), stats_change(*postings)):
                 self._put(deltas, f"{self._table(version, kind)}_changes", batch_id)
 
     def _put(self, df: DataFrame, target: str, batch_id: int) -> None:
-        marked = df.withColumn("batch", F.lit(int(batch_id)).cast("bigint"))
+        marked = df.withColumn(_BATCH, F.lit(int(batch_id)).cast("bigint"))
         marked.select(self.spark.table(target).columns).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).insertInto(target)

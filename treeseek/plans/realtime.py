@@ -6,33 +6,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeseek.functions.html import BUCKETS
+from treeseek.functions.paths import ancestors
 from treeseek.model import KEYS
 from treeseek.operators import hierarchy, projection, rollup, text_index
-from treeseek.plans.build import BuildConfig
+from treeseek.operators.filters import disjunction
+from treeseek.plans.build import BuildConfig, skeleton, variation_frame
 from treeseek.plans.publish import IndexStore
-from treeseek.session import materialise
-from treeseek.streaming.changes import INDEX, REMOVE, latest, prepare
+from treeseek.session import materialise, materialise_counted
+from treeseek.streaming.changes import REMOVE, latest, prepare
 
 _KEYS = list(KEYS)
+# Up to this many keys are looked up as literals, beyond it the join alone decides.
+LOOKUP = 1_000
 
 
-def affected(changes: DataFrame, tree: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Keys whose place or flags may be different: changed nodes, and what lies below them.
+def lookup(df: DataFrame, keys: DataFrame, n: int, column: str = "node_id") -> DataFrame:
+    """Rows of ``df`` under ``keys``, which has ``n`` rows and the key columns of ``df``.
 
-    Below means in the old tree or in the new one; a new parent brings its
-    children into the batch by their old paths.
+    The ids of a small batch also go down to the files, where order and Bloom
+    filters rule most of them out; the join keeps the result exact.
     """
-    changed = changes.select(*_KEYS).distinct()
-    marked = tree.join(changed, _KEYS, "left_semi").select("workspace", "dimension", F.col("path").alias("_prefix"))
-    parts = F.split("path", "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
-    below = (
-        tree.select(*_KEYS, F.explode(prefixes).alias("_prefix"))
-        .join(marked, ["workspace", "dimension", "_prefix"], "left_semi")
-        .select(*_KEYS)
-    )
-    known = nodes.select(*_KEYS)
-    return changed.unionByName(below).distinct().join(known, _KEYS, "left_semi")
+    if n <= LOOKUP:
+        df = df.where(F.col(column).isin([r[0] for r in keys.select(column).distinct().collect()]))
+    return df.join(keys, keys.columns, "left_semi")
+
+
+def below(tree: DataFrame, changed: DataFrame, n: int) -> DataFrame:
+    """Keys of what lies below changed nodes, where these were placed before."""
+    marked = lookup(tree, changed, n).select("workspace", "dimension", "path")
+    if n <= LOOKUP:
+        paths = [r.path for r in marked.select("path").distinct().collect()]
+        return tree.where(disjunction(F.col("path").startswith(p + "/") for p in paths)).select(*_KEYS)
+    prefixes = tree.select(*_KEYS, F.explode(ancestors(F.col("path"))).alias("path"))
+    return prefixes.join(marked, ["workspace", "dimension", "path"], "left_semi").select(*_KEYS)
+
+
+def in_all_dimensions(changes: DataFrame, config: BuildConfig) -> DataFrame:
+    """Changed keys, also in the dimensions that fall back to theirs."""
+    keys = changes.select(*_KEYS)
+    if not config.variation:
+        return keys.distinct()
+    edges = variation_frame(changes.sparkSession, config).select(F.col("general").alias("dimension"), "special")
+    others = keys.join(F.broadcast(edges), "dimension").select("workspace", F.col("special").alias("dimension"), "node_id")
+    return keys.unionByName(others).distinct()
 
 
 def apply_changes(
@@ -41,59 +57,67 @@ def apply_changes(
     """Index and remove nodes, and refresh the text of every page they touch.
 
     ``changes(seq, op, workspace, dimension, node_id[, target_workspace])`` says
-    what happened; ``nodes`` is the node table as it is now.
+    what happened; ``nodes`` is the node table as it is now. A key that is not
+    there any more, also not by fallback, leaves the index.
     """
     concerned = prepare(changes, config.index_all_workspaces)
-    last = materialise(latest(concerned.select("seq", "op", *_KEYS), _KEYS), "changes")
-    stamp = last.agg(F.max("seq")).first()[0]
-    if stamp is None:
+    last, n_last = materialise_counted(latest(concerned.select("seq", "op", *_KEYS), _KEYS), "changes")
+    if not n_last:
         return
-    seq = F.lit(stamp).alias("seq")
     # As of before this batch, so that a batch that is sent again finds the same state.
     tree, parts, docs = (store.current(kind, before=batch_id) for kind in ("tree", "parts", "docs"))
 
-    removed = last.where(F.col("op") == REMOVE).select(*_KEYS)
-    touched = materialise(affected(last, tree, nodes).join(removed, _KEYS, "left_anti"), "changed-keys")
-    now = materialise(nodes.join(touched, _KEYS, "left_semi"), "changed-nodes")
-    around = tree.join(touched, _KEYS, "left_anti").join(removed, _KEYS, "left_anti")
-    parents = now.select("workspace", "dimension", F.col("parent_id").alias("node_id")).distinct()
-    resolved = hierarchy.resolve(
-        now, config.types.frame(nodes.sparkSession), around.join(parents, _KEYS, "left_semi")
-    ).nodes
+    changed, n_changed = materialise_counted(in_all_dimensions(last, config), "changed-keys")
+    keys, n = materialise_counted(
+        changed.unionByName(below(tree, changed, n_changed)).distinct(), "touched-keys"
+    )
+    ids = keys.select("workspace", "node_id").distinct()
+    stored = projection.scope_to_live(nodes, config.index_all_workspaces)
+    taken_out = last.where(F.col("op") == REMOVE).select(*_KEYS)
+    now = materialise(lookup(stored, ids, n).join(taken_out, _KEYS, "left_anti"), "changed-nodes")
+    placed = materialise(skeleton(now, config).join(keys, _KEYS, "left_semi"), "placed-nodes")
+    parents, n_parents = materialise_counted(
+        placed.where(F.col("parent_id").isNotNull())
+        .select("workspace", "dimension", F.col("parent_id").alias("node_id")).distinct(),
+        "parents",
+    )
+    around = lookup(tree, parents, n_parents).join(keys, _KEYS, "left_anti")
+    resolved = hierarchy.resolve(placed, config.types.frame(nodes.sparkSession), around).nodes
+    removed = materialise(keys.join(resolved.select(*_KEYS), _KEYS, "left_anti"), "removed-keys")
 
     extracted = rollup.extract(
         now.where(projection.indexable(F.col("type"), config.type_settings)), rollup.extractors_of(config.types)
     )
     new_parts, _ = rollup.parts(extracted, resolved)
     new_parts = materialise(new_parts, "new-parts")
-    gone = materialise(touched.unionByName(removed), "gone-keys")
-
     # Pages that had or now have a part of a changed node; a removed page is no page any more.
-    part_keys = gone.withColumnRenamed("node_id", "part_node_id")
-    before = parts.join(part_keys, ["workspace", "dimension", "part_node_id"], "left_semi").select(*rollup.ROOT)
+    part_keys = keys.withColumnRenamed("node_id", "part_node_id")
+    before = lookup(parts, part_keys, n, "part_node_id").select(*rollup.ROOT)
     as_root = removed.withColumnRenamed("node_id", "root_id")
-    pages = materialise(
+    pages, n_pages = materialise_counted(
         before.unionByName(new_parts.select(*rollup.ROOT)).distinct().join(as_root, list(rollup.ROOT), "left_anti"),
         "touched-pages",
     )
-    after = rollup.replace_parts(rollup.touched(parts, pages), gone, new_parts)
+    after = rollup.replace_parts(lookup(parts, pages, n_pages, "root_id"), keys, new_parts)
     chunks = rollup.chunked(after)
     text = rollup.to_buckets(rollup.roll_up(chunks)).withColumnRenamed("root_id", "node_id")
 
     projected = projection.project(now, resolved, config.types, config.type_settings, config.doc_id)
     page_keys = pages.withColumnRenamed("root_id", "node_id")
     plain = [c for c in docs.columns if c != "fulltext"]
-    others = docs.join(page_keys, _KEYS, "left_semi").join(gone, _KEYS, "left_anti").select(*plain)
+    others = lookup(docs, page_keys, n_pages).join(keys, _KEYS, "left_anti").select(*plain)
     rewritten = projected.select(*plain).unionByName(others)
     # Text of pages in the batch is new; a projected page that lost no part keeps its old text.
-    kept_text = docs.join(page_keys, _KEYS, "left_anti").select(*_KEYS, F.col("fulltext").alias("old_text"))
+    kept_text = (
+        lookup(docs, keys, n).join(page_keys, _KEYS, "left_anti").select(*_KEYS, F.col("fulltext").alias("old_text"))
+    )
     new_docs = (
         rewritten.join(text, _KEYS, "left")
         .join(kept_text, _KEYS, "left")
-        .select(*plain, F.coalesce("fulltext", "old_text").alias("fulltext"), seq)
+        .select(*plain, F.coalesce("fulltext", "old_text").alias("fulltext"))
     )
     new_docs = materialise(new_docs, "new-docs")
-    replaced_docs = gone.unionByName(page_keys).distinct().select(*_KEYS, seq)
+    replaced, n_replaced = materialise_counted(keys.unionByName(page_keys).distinct(), "replaced-keys")
 
     def postings_of(some: DataFrame) -> DataFrame:
         texts = {b: F.col(f"fulltext.{b}") for b in BUCKETS}
@@ -102,18 +126,18 @@ def apply_changes(
         )
 
     new_postings = materialise(postings_of(new_docs), "new-postings")
-    old_postings = postings_of(docs.join(replaced_docs.select(*_KEYS), _KEYS, "left_semi"))
-    ids = replaced_docs.select(
+    old_postings = postings_of(lookup(docs, replaced, n_replaced))
+    doc_ids = replaced.select(
         "workspace", "dimension",
-        config.doc_id(F.col("node_id"), F.col("workspace"), F.col("dimension")).alias("doc_id"), "seq",
+        config.doc_id(F.col("node_id"), F.col("workspace"), F.col("dimension")).alias("doc_id"),
     )
     store.update(
         batch_id,
         {
-            "tree": (gone.select(*_KEYS, seq), resolved.select(*tree.columns).withColumn("seq", seq)),
-            "parts": (part_keys.withColumn("seq", seq), new_parts.withColumn("seq", seq)),
-            "docs": (replaced_docs, new_docs),
-            "postings": (ids, new_postings.withColumn("seq", seq)),
+            "tree": (keys, resolved.select(*tree.columns)),
+            "parts": (part_keys, new_parts),
+            "docs": (replaced, new_docs),
+            "postings": (doc_ids, new_postings),
         },
         (old_postings, new_postings),
     )
@@ -130,5 +154,3 @@ def follow(
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
 
-
-__all__ = ["INDEX", "REMOVE", "affected", "apply_changes", "follow"]

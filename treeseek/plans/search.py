@@ -1,7 +1,8 @@
 """The query builder. Immutable: every call returns a new query.
 
-Nothing runs before an action on one of the resulting DataFrames, with one
-exception: more-like-this first fetches the few terms it searches for.
+Nothing runs before an action on one of the resulting DataFrames, with two
+exceptions: more-like-this first fetches the few terms it searches for, and a
+page with highlights is fetched before its text is looked up.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from treeseek.operators.text_index import TextIndex, restrict
 from treeseek.session import materialise
 
 DEFAULT_SELECT = ("path", "node_id")
-_BROADCAST_PAGE = 10_000
+_FETCHED_PAGE = 1_000
 
 
 @dataclass(frozen=True)
@@ -299,9 +300,13 @@ class Search:
     def _scoped_text(self) -> TextIndex:
         if self.index.text is None:
             raise QueryError("this index has no full text")
+        text = self.index.text
+        if self.chain:
+            # Statistics stay those of the whole index.
+            text = replace(text, postings=text.postings.where(F.col("workspace").isin(list(self.chain))))
         if not self.dimensions:
-            return self.index.text
-        return restrict(self.index.text, self.dimensions)
+            return text
+        return restrict(text, self.dimensions)
 
     def condition(self) -> Column:
         """All filter clauses as one Column."""
@@ -345,10 +350,7 @@ class Search:
             columns.append("score")
         page, order = ordering.page(found, self.sort_keys, self.limit_, self.offset_, columns)
         if self.highlights and self.text_query is not None and "fulltext" in self.index.docs.columns:
-            # Text is fetched for the page only, it never goes through the sort.
-            text = self.index.docs.select("doc_id", "fulltext")
-            small = self.limit_ is not None and self.limit_ <= _BROADCAST_PAGE
-            joined = (F.broadcast(page) if small else page).join(text, "doc_id", "left")
+            joined = self._with_text(page)
             page = joined.withColumn("highlight", highlight_columns(self.highlights, self.text_query)).orderBy(
                 *order
             )
@@ -356,6 +358,22 @@ class Search:
                 page = page.drop("fulltext")
         return page
 
+    def _with_text(self, page: DataFrame) -> DataFrame:
+        """The page with its full text, which never goes through the sort.
+
+        A page of limited size is fetched first: its documents are then looked
+        up by literal path and id, and the text of all others is not read.
+        """
+        docs = self.index.docs
+        if self.limit_ is None or self.limit_ > _FETCHED_PAGE:
+            return page.join(docs.select("doc_id", "fulltext"), "doc_id", "left")
+        rows = page.collect()
+        found = docs.where(F.col("doc_id").isin([r.doc_id for r in rows]))
+        if "path" in page.columns:
+            found = found.where(F.col("path").isin([r.path for r in rows]))
+        fetched = page.sparkSession.createDataFrame(rows, page.schema, verifySchema=False)
+        return fetched.join(found.select("doc_id", "fulltext"), "doc_id", "left")
+
     def execute(self) -> SearchResult:
         return SearchResult(self)
 

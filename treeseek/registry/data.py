@@ -11,7 +11,7 @@ from treeseek.operators import text_index
 from treeseek.operators.hierarchy import Resolved, resolve
 from treeseek.operators.text_index import TextIndex
 from treeseek.plans.search import SearchIndex
-from treeseek.session import scratch_path
+from treeseek.session import scratch_path, spread
 
 _indexes: dict[tuple[str, str], TextIndex] = {}
 _trees: dict[tuple[str, str], Resolved] = {}
@@ -68,7 +68,7 @@ def document_index(spark: SparkSession, sf_dir: str) -> TextIndex:
     """The text index of the documents, built once per session and kept in the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _indexes:
-        lazy = text_index.build(documents(spark, sf_dir), {"text": F.col("fulltext.text")})
+        lazy = text_index.build(spread(documents(spark, sf_dir)), {"text": F.col("fulltext.text")})
         _indexes[key] = text_index.save(lazy, scratch_path(spark, "document-index"))
     return _indexes[key]
 
@@ -93,7 +93,7 @@ def document_search(spark: SparkSession, sf_dir: str, hidden: bool = False) -> S
 
 
 def lazy_index(spark: SparkSession, sf_dir: str) -> TextIndex:
-    return text_index.build(documents(spark, sf_dir), {"text": F.col("fulltext.text")}, AnalyzerSet())
+    return text_index.build(spread(documents(spark, sf_dir)), {"text": F.col("fulltext.text")}, AnalyzerSet())
 
 
 TREE_SQL = """

@@ -17,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lookups of a batch or a page by id reach the Bloom filters of the files.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -81,10 +83,11 @@ def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many tasks as there are cores.
+    """A scan over at least as many tasks as there are cores.
 
     For work that costs much per row on input of few splits, such as one file
-    with one row group. Input with enough splits is left as it is.
+    with one row group. Input with enough splits is left as it is. Not for
+    frames with shuffles in them: asking those for their tasks would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
