@@ -133,10 +133,6 @@ def closure_of(edges: DataFrame) -> DataFrame:
         reached = materialise(reached.unionByName(frontier), "types")
 
 
-def with_ancestor_paths(df: DataFrame) -> DataFrame:
-    return df.withColumn("ancestor_paths", ancestors(F.col("path")))
-
-
 def closest_roots(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, its full-text root) pairs, and the nodes that have no root above them."""
     pairs = resolved.where(F.col("closest_root").isNotNull()).select(

@@ -11,11 +11,12 @@ import re
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.errors import PublishError
 from treeseek.functions.analysis import AnalyzerSet
+from treeseek.operators import validity
 from treeseek.operators.text_index import TextIndex, field_stats, lay_out, stats_change, term_stats
 from treeseek.plans.build import Built
 from treeseek.plans.search import SearchIndex
@@ -66,6 +67,7 @@ class IndexStore:
             raise PublishError(f"not an index name: {alias!r}")
         self.spark, self.alias, self.database = spark, alias, database
         self.settings = dict(settings or {})
+        self.error_count = 0
         self.analyzers = analyzers or AnalyzerSet.from_settings(self.settings)
 
     # Names
@@ -153,7 +155,9 @@ class IndexStore:
         stored = self.spark.table(self._table(version, "postings"))
         vocabulary = term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         self._write(vocabulary, version, "term_stats")
-        self._write(built.errors, version, "errors")
+        seen = Observation()
+        self._write(validity.counted(built.errors, seen), version, "errors")
+        self.error_count = seen.get["errors"]
         tree = built.tree.repartitionByRange("dimension", "workspace", "path").sortWithinPartitions(
             "dimension", "workspace", "path"
         )

@@ -77,8 +77,17 @@ class Search:
 
     # Context
 
-    def query(self, path: str, workspace: str = LIVE, dimension: str | None = None) -> Search:
-        """Search below a node, itself included, as its workspace and dimension show it."""
+    def query(self, node: object, workspace: str = LIVE, dimension: str | None = None) -> Search:
+        """Search below a node, itself included, as its workspace and dimension show it.
+
+        ``node`` is its path, or a row or mapping with ``path``, ``workspace``
+        and ``dimension``.
+        """
+        path = node
+        if not isinstance(node, str):
+            given = node.asDict() if hasattr(node, "asDict") else dict(node)
+            path, workspace = given["path"], given.get("workspace", workspace)
+            dimension = given.get("dimension", dimension)
         found = self.where(subtree(F.col("path"), path)).in_workspace(workspace)
         return found.in_dimension(dimension) if dimension is not None else found
 
@@ -346,6 +355,8 @@ class Search:
         """The page: asked columns, ``doc_id``, ``score``, ``sort_values``, ``highlight``."""
         found = self.matching()
         columns = [*(self.columns or [c for c in found.columns if c != "fulltext"])]
+        if self.columns == DEFAULT_SELECT:
+            columns = [c for c in columns if c in found.columns]
         if "score" not in columns:
             columns.append("score")
         page, order = ordering.page(found, self.sort_keys, self.limit_, self.offset_, columns)

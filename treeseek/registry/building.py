@@ -130,7 +130,7 @@ def asset_fields(spark, sf_dir):
     text = F.col("html")
     asset = assets.fields(text, F.col("url"), F.octet_length(text))
     return (
-        table(spark, sf_dir, "pages")
+        spread(table(spark, sf_dir, "pages"))
         .select("page_id", asset.alias("asset"))
         .select("page_id", *[f"asset.{f}" for f in ("content", "title", "content_type", "content_length", "language")])
     )

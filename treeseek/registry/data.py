@@ -16,6 +16,13 @@ from treeseek.session import scratch_path, spread
 _indexes: dict[tuple[str, str], TextIndex] = {}
 _trees: dict[tuple[str, str], Resolved] = {}
 
+
+def forget() -> None:
+    """Build indexes and trees anew the next time they are asked for."""
+    _indexes.clear()
+    _trees.clear()
+
+
 # The same views for the SQL side.
 TOKENS_SQL = r"""
 docs AS (

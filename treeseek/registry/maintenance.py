@@ -10,7 +10,7 @@ from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.building import _PARTS_SQL, conversation_parts
 from treeseek.registry.data import TREE_SQL, documents, table, tree, tree_nodes
-from treeseek.session import scratch_path
+from treeseek.session import materialise, scratch_path
 from treeseek.sources import nodes as node_source
 from treeseek.streaming.changes import INDEX, REMOVE, ChangeLog, latest, merge, prepare, read_changes, refresh_fulltext
 
@@ -156,7 +156,7 @@ def publish_to_target(spark, sf_dir):
 )
 def incremental_rollup(spark, sf_dir):
     """Long questions are edited, long answers removed; only their pages are joined anew."""
-    parts = conversation_parts(spark, sf_dir)
+    parts = materialise(conversation_parts(spark, sf_dir), "parts")
     edited = parts.where((F.col("bucket") == "h2") & (F.length("text") > 200))
     removed = parts.where((F.col("bucket") == "text") & (F.length("text") > 400))
     changed = edited.unionByName(removed).select("workspace", "dimension", F.col("part_node_id").alias("node_id"))

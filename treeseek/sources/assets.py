@@ -38,15 +38,17 @@ def _first(html: Column, pattern: str) -> Column:
     return F.nullif(plain(F.regexp_extract(html, pattern, 1)), F.lit(""))
 
 
-def fields(text: Column, name: Column, length: Column) -> Column:
+def fields(text: Column, name: Column, length: Column, limit: int | None = ASSET_TEXT_LIMIT) -> Column:
     """The fields of an HTML or plain-text asset.
 
-    ``content`` is cut at the cap that the extraction has by definition.
+    ``content`` ends at the limit that the extraction has by definition; with
+    ``None`` it is whole.
     """
     is_html = text.rlike(r"(?is)<(?:!doctype|html|head|body)[\s>]")
     without_head = F.regexp_replace(visible(text), r"(?is)<head[^>]*>.*?</head>", " ")
     content = F.when(is_html, plain(without_head)).otherwise(F.trim(text))
-    content = F.substring(content, 1, ASSET_TEXT_LIMIT)
+    if limit is not None:
+        content = F.substring(content, 1, limit)
     language = F.nullif(F.regexp_extract(text, r'(?is)<html[^>]*\slang=["\']([^"\']*)["\']', 1), F.lit(""))
     return F.struct(
         content.alias("content"),

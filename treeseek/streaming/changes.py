@@ -3,7 +3,7 @@
 Changes arrive in small batches and touch documents anywhere. Rewriting stored
 partitions for each batch would cost the whole table again and again, so a batch
 only adds its own folder to the log. Readers put the log over the base; a
-rebuild or :func:`compact` folds it in.
+rebuild or a compaction folds it in.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from treeseek.model import FLUSH_OCTETS, KEYS
+from treeseek.model import FLUSH_OCTETS
 from treeseek.operators import rollup
 from treeseek.operators.projection import publish_to_target, scope_to_live
 
@@ -99,15 +99,3 @@ def refresh_fulltext(
     refreshed = rollup.to_buckets(rollup.roll_up(rollup.chunked(rollup.touched(after, roots))))
     # A page that lost its last part stays, with nothing in it.
     return after, roots.join(refreshed, list(rollup.ROOT), "left")
-
-
-def remove_pages(docs: DataFrame, parts: DataFrame, removed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents and parts without the removed nodes; a removed page takes all its parts along."""
-    keys = list(KEYS)
-    gone = removed.select(*keys).distinct()
-    as_root = gone.withColumnRenamed("node_id", "root_id")
-    as_part = gone.withColumnRenamed("node_id", "part_node_id")
-    left = parts.join(as_root, list(rollup.ROOT), "left_anti").join(
-        as_part, ["workspace", "dimension", "part_node_id"], "left_anti"
-    )
-    return docs.join(gone, keys, "left_anti"), left.select(parts.columns)
