@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from treeseek.functions.html import BUCKETS
 from treeseek.model import KEYS, NodeTypes
 from treeseek.operators.skew import ordered_chunks
+from treeseek.session import materialise
 
 ROOT = ("workspace", "dimension", "root_id")
 _NO_ROWS = "array<struct<bucket:string,text:string>>"
@@ -103,14 +104,19 @@ def to_buckets(rolled: DataFrame) -> DataFrame:
     return rolled.groupBy(*ROOT).agg(*columns).select(*ROOT, F.struct(*BUCKETS).alias("fulltext"))
 
 
-def with_offsets(chunks: DataFrame, tokens: Callable[[DataFrame], Column]) -> DataFrame:
-    """Parts with their terms and the place of the first one in the whole bucket.
+def tokenised(chunks: DataFrame, tokens: Column) -> DataFrame:
+    """Parts with their terms instead of their text, written, since they are read twice."""
+    terms = chunks.withColumn("tokens", tokens).withColumn("n_tokens", F.size("tokens"))
+    return materialise(terms.drop("text"), "tokenised-parts")
+
+
+def with_offsets(counted: DataFrame) -> DataFrame:
+    """Tokenised parts with the place of their first term in the whole bucket.
 
     A running count in two steps: within each range, and over the ranges of a
     page. Neither step sees all parts of a large page.
     """
     group = (*ROOT, "bucket")
-    counted = chunks.withColumn("tokens", tokens(chunks)).withColumn("n_tokens", F.size("tokens"))
     per_range = counted.groupBy(*group, "chunk").agg(F.sum("n_tokens").alias("range_tokens"))
     earlier = Window.partitionBy(*group).orderBy("chunk")
     before_range = per_range.select(

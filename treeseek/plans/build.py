@@ -61,9 +61,13 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     }
     good, bad = validity.split(documents, checks, run_id)
 
-    extracted = rollup.extract(
-        scoped.where(projection.indexable(F.col("type"), config.type_settings)),
-        rollup.extractors_of(config.types),
+    # Written, so that HTML is taken apart once although ranges are found by reading twice.
+    extracted = materialise(
+        rollup.extract(
+            scoped.where(projection.indexable(F.col("type"), config.type_settings)),
+            rollup.extractors_of(config.types),
+        ),
+        "extracted",
     )
     parts, lost = rollup.parts(extracted, tree.nodes)
     chunks = rollup.chunked(parts)
@@ -91,28 +95,16 @@ def variation_frame(spark, config: BuildConfig) -> DataFrame:
 
 def page_index(chunks: DataFrame, config: BuildConfig) -> TextIndex:
     """The text index of pages, straight from their parts."""
-
-    def tokens(df: DataFrame) -> Column:
-        # One expression per bucket with an analyser of its own, else one for all.
-        chosen = None
-        for name in config.analyzers.by_field:
-            terms = config.analyzers.tokens(F.col("text"), F.col("dimension"), name)
-            match = F.col("bucket") == name
-            chosen = F.when(match, terms) if chosen is None else chosen.when(match, terms)
-        general = config.analyzers.tokens(F.col("text"), F.col("dimension"), "")
-        return general if chosen is None else chosen.otherwise(general)
-
-    located = materialise(rollup.with_offsets(chunks, tokens), "located-parts")
+    # One expression per bucket with an analyser of its own, else one for all.
+    text, dimension = F.col("text"), F.col("dimension")
+    tokens = config.analyzers.tokens(text, dimension, "")
+    for name in config.analyzers.by_field:
+        tokens = F.when(F.col("bucket") == name, config.analyzers.tokens(text, dimension, name)).otherwise(tokens)
+    located = rollup.with_offsets(rollup.tokenised(chunks, tokens))
     inverted = text_index.invert_parts(located)
-    postings = materialise(inverted.select(
-        config.doc_id(F.col("root_id"), F.col("workspace"), F.col("dimension")).alias("doc_id"),
-        *text_index.SCOPE,
-        "field",
-        "term",
-        "tf",
-        "positions",
-        "dl",
-    ), "postings")
+    doc_id = config.doc_id(F.col("root_id"), F.col("workspace"), F.col("dimension")).alias("doc_id")
+    columns = ("field", "term", "tf", "positions", "dl")
+    postings = materialise(inverted.select(doc_id, *text_index.SCOPE, *columns), "postings")
     return TextIndex(postings, text_index.field_stats(postings), text_index.term_stats(postings), config.analyzers)
 
 

@@ -18,6 +18,8 @@ from treeseek.streaming.changes import REMOVE, latest, prepare
 _KEYS = list(KEYS)
 # Up to this many keys are looked up as literals, beyond it the join alone decides.
 LOOKUP = 1_000
+# Up to this many changed paths are sent to every task that reads the tree.
+BROADCAST = 100_000
 
 
 def lookup(df: DataFrame, keys: DataFrame, n: int, column: str = "node_id") -> DataFrame:
@@ -37,6 +39,9 @@ def below(tree: DataFrame, changed: DataFrame, n: int) -> DataFrame:
     if n <= LOOKUP:
         paths = [r.path for r in marked.select("path").distinct().collect()]
         return tree.where(disjunction(F.col("path").startswith(p + "/") for p in paths)).select(*_KEYS)
+    if n <= BROADCAST:
+        # Counted: at most this many rows, so the tree is not shuffled by its prefixes.
+        marked = F.broadcast(marked)
     prefixes = tree.select(*_KEYS, F.explode(ancestors(F.col("path"))).alias("path"))
     return prefixes.join(marked, ["workspace", "dimension", "path"], "left_semi").select(*_KEYS)
 

@@ -13,7 +13,7 @@ from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.data import TREE_SQL, documents, table, tree, tree_nodes
 from treeseek.registry.fulltext import _BUCKET_SQL
-from treeseek.session import materialise, spread
+from treeseek.session import spread
 from treeseek.sources import assets
 
 
@@ -211,9 +211,7 @@ def rollup_postings(spark, sf_dir):
     """Postings of pages out of their parts: positions run through the whole page."""
     analyzers = AnalyzerSet()
     chunks = rollup.chunked(conversation_parts(spark, sf_dir))
-    located = materialise(
-        rollup.with_offsets(chunks, lambda df: analyzers.default.tokens(F.col("text"))), "located-parts"
-    )
+    located = rollup.with_offsets(rollup.tokenised(chunks, analyzers.default.tokens(F.col("text"))))
     return text_index.invert_parts(located).select(
         "root_id", "field", "term", F.col("tf").cast("bigint"), F.col("dl").cast("bigint"),
         F.get("positions", F.lit(0)).cast("bigint").alias("first_pos"),
