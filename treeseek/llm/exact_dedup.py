@@ -30,12 +30,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm.rows import HOT_ROWS, SPACES, column, field, located
+from treeseek.llm.rows import HOT_ROWS, SPACES, column, field, located, sieve, sifted, without
 from treeseek.operators.skew import hot_keys, join_unique
 from treeseek.session import materialise, scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Files of the store take the room they need, not some megabytes each in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 Digest = Callable[[Column], Column]
 
@@ -61,8 +66,7 @@ class Deduplicated:
 
     def kept(self) -> DataFrame:
         """The documents that stay, with their own columns."""
-        dropped = self.rows.where(~F.col("kept")).select("row")
-        return self._documents.join(dropped, "row", "left_anti").select("doc.*")
+        return without(self._documents, self.rows.where(~F.col("kept")))
 
 
 def feed(placed: DataFrame, id_column: str, text_column: str, digest: Digest = sha256) -> DataFrame:
@@ -83,15 +87,17 @@ def best(points: str = "points", identifier: str = "id") -> Column:
 
 @contextmanager
 def _rocksdb(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STORE}
+    for key, value in _STORE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def advance(spark: SparkSession, state: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -161,7 +167,10 @@ def deduplicate(
         "row", field(id_column).alias("id"), normalised(field(text_column)).alias("text"),
         F.length(F.coalesce(field(text_column), F.lit(""))).alias("points"),
     ).withColumn("digest", digest(F.col("text")))
-    hit = join_unique(texts, groups.select("digest"), ["digest"], hot_digests, ["row"])
+    # Only texts that a sieve of the digests with hits lets through are shuffled.
+    digests = sieve(groups.select(F.xxhash64("digest").alias("h")))
+    suspects = sifted(texts, F.xxhash64("digest"), digests).where("maybe").drop("maybe")
+    hit = join_unique(suspects, groups.select("digest"), ["digest"], hot_digests, ["row"])
     unequal = materialise(
         hit.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
         .where(F.col("low") != F.col("high")).select("digest"),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeseek.llm.components import components
-from treeseek.llm.rows import HOT_ROWS, field, located
+from treeseek.llm.rows import HOT_ROWS, field, located, without
 from treeseek.operators.skew import hot_keys, join_unique
 from treeseek.session import materialise, spread
 
@@ -173,4 +173,4 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     # Components without a name hold null ids only; their fingerprints keep them apart.
     key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
     stays = found.groupBy(*key).agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
-    return placed.join(stays, "row", "left_semi").select("doc.*")
+    return without(placed, found.join(stays, "row", "left_anti"))
