@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, simhash
+from treeseek.llm import exact_dedup, packing, quality_rules, simhash
+
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,3 +60,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public vocabulary lies; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece of each document with its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its statistics and the verdict; the source counts as host."""
+    found = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return found.drop("row").withColumnRenamed("id", "doc_id")
