@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, packing, quality_rules, simhash
+from treeseek.llm import exact_dedup, language_id, packing, quality_rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -69,6 +69,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that no classifier learns from. A null id is held out of nothing."""
+    remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
+    return F.coalesce(remainder == 2, F.lit(False))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
@@ -80,3 +86,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its statistics and the verdict; the source counts as host."""
     found = quality_rules.judge(table(spark, sf_dir, "documents"))
     return found.drop("row").withColumnRenamed("id", "doc_id")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its language, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(spark, docs, ~held_out())
+    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score")
