@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, language_id, packing, quality_rules, simhash
+from treeseek.llm import exact_dedup, language_id, mixing, packing, quality_rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -51,6 +51,47 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_mixing",
+    r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS key
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM d GROUP BY source),
+c AS (
+  SELECT *, CAST(3 * source_size AS DOUBLE) / w AS r,
+         coalesce(sum(3 * source_size) OVER earlier, 0) AS capped, coalesce(sum(w) OVER earlier, 0) AS w_capped,
+         sum(source_size) OVER () AS total, sum(w) OVER () AS w_total
+  FROM s WINDOW earlier AS (ORDER BY CAST(3 * source_size AS DOUBLE) / w, source NULLS LAST
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (
+  SELECT *, CAST(total - capped AS DOUBLE) / CAST(w_total - w_capped AS DOUBLE) AS level FROM c),
+level AS (SELECT min_by(level, r) AS level FROM l WHERE level * w <= 3 * source_size),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN w * level > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE w * level END AS target
+  FROM s CROSS JOIN level),
+b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS base FROM t),
+o AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.base, b.target - b.base * b.source_size AS budget,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key) AS BIGINT) AS upto
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (base + CASE WHEN upto <= budget OR (upto - size <= budget AND upto - budget < budget - (upto - size))
+                                THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM o""",
+)
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the words that the mix of sources takes from it."""
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its fingerprint and the group of near-duplicates it is in."""
