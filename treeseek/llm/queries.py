@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, language_id, mixing, packing, quality_rules, simhash
+from treeseek.llm import exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -116,6 +116,51 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(False))
 
 
+def _license_sql() -> str:
+    """Phrases by place, and each block against each template without any filter."""
+
+    def words(values) -> str:
+        return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+    phrases = ", ".join(f"({words(p.split())}, '{label}')" for p, label in license_scan.PHRASES.items())
+    templates = ", ".join(
+        f"({words(t.words)}, '{t.label}', {t.needed})" for t in license_scan.templates_of(license_scan.TEMPLATES)
+    )
+    return rf"""
+WITH phrases(words, label) AS (VALUES {phrases}),
+templates(words, label, needed) AS (VALUES {templates}),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+starts AS (
+  SELECT doc_id, label, i FROM (
+    SELECT d.doc_id, p.label, p.words, d.w, unnest(range(len(d.w))) AS i FROM d CROSS JOIN phrases p) AS s
+  WHERE w[i + 1:i + len(words)] = words),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM starts GROUP BY doc_id),
+blocks AS (
+  SELECT doc_id, list_distinct(w[s + 1:s + {license_scan.BLOCK_WORDS}]) AS b
+  FROM (SELECT doc_id, w, unnest(range(0, len(w), {license_scan.BLOCK_WORDS // 2})) AS s FROM d)),
+found AS (
+  SELECT doc_id, label, len(list_intersect(b, t.words)) / len(t.words) AS part
+  FROM blocks CROSS JOIN templates t WHERE len(list_intersect(b, t.words)) >= t.needed),
+best AS (SELECT doc_id, max(part) AS best FROM found GROUP BY doc_id),
+labels AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM found UNION SELECT doc_id, label FROM starts) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN labels USING (doc_id)"""
+
+
+@query("op6_license_scan", _license_sql())
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the licenses it names."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
