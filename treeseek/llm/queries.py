@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash
+from treeseek.llm import exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, warc
+from treeseek.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -51,6 +52,34 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op2_warc",
+    """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+h AS (SELECT payload_digest, max(page_id) AS holder FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM d LEFT JOIN h USING (payload_digest)""",
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages written as archives and read back, record by record."""
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write(
+        pages.select(
+            F.col("page_id").alias("id"), F.col("url").alias("uri"), F.col("html").cast("binary").alias("payload")
+        ),
+        path,
+    )
+    found = warc.read(spark, path, payloads=False)
+    return found.select(
+        F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 @query(
     "op3_mixing",
     r"""
