@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeseek.llm import exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, warc
+from treeseek.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    warc,
+)
 from treeseek.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -209,3 +220,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(spark, docs, ~held_out())
     return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_quality_model")
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its quality, learned from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_model.classify(docs, labels, ~held_out("id"))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the sentences removed that an earlier document has."""
+    found = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
