@@ -20,7 +20,9 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +42,16 @@ _PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens
 class WordTokens:
     """Token ids of texts as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its blank-separated words in turn, and a word is
-    tokenised once per task.
+    The tokenizer lower-cases, drops white space and never joins across it, so
+    the ids of a text are those of its blank-separated words in turn, whatever
+    the case of A-Z. A task tokenises each different word of a batch once, some
+    at a time, and keeps the first ``cached`` words, among which are the
+    frequent ones. A full stop or comma behind a letter or digit is a token of
+    its own, so a word with one is not tokenised anew.
     """
 
+    _AT_ONCE = 50
+
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
@@ -52,18 +59,42 @@ class WordTokens:
         self._cached = cached
         self._known: dict[bytes, bytes] = {}
 
-    def encode(self, text: str | None) -> bytes:
-        words = (text or "").encode().split()
-        known = self._known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > self._cached:
-                known.clear()
-                new = list(set(words))
-            ids = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for word, encoded in zip(new, ids):
-                known[word] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
-        return b"".join([known[w] for w in words])
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        split = [(t or "").encode().lower().split() for t in texts]
+        new = set().union(*split).difference(self._known)
+        fresh = self._tokens(new)
+        room = self._cached - len(self._known)
+        if len(fresh) <= room:
+            self._known.update(fresh)
+            fresh = self._known
+        else:
+            self._known.update(islice(fresh.items(), max(0, room)))
+            fresh = self._known | fresh
+        return [b"".join([fresh[w] for w in words]) for words in split]
+
+    def _tokens(self, words: set[bytes]) -> dict[bytes, bytes]:
+        stopped = {w for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalnum()}
+        plain = list((words - stopped).union(w[:-1] for w in stopped).difference(self._known))
+        out: dict[bytes, bytes] = {}
+        for start in range(0, len(plain), self._AT_ONCE):
+            part = plain[start : start + self._AT_ONCE]
+            texts = [w.decode() for w in part]
+            found = self._tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.array([a for a, _ in found.offsets], dtype=np.int64)
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+            data = np.array(found.ids, dtype="<u4").tobytes()
+            for word, a, b in zip(part, cuts, cuts[1:]):
+                out[word] = data[a:b]
+        marks = {m: self._one(m) for m in (".", ",")}
+        for word in stopped:
+            base = word[:-1]
+            out[word] = (out[base] if base in out else self._known[base]) + marks[chr(word[-1])]
+        return out
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END_TOKEN, ids: bool = False) -> DataFrame:
@@ -74,8 +105,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
         encoder = WordTokens(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
-            for key, text in zip(batch.column("id"), batch.column("text")):
-                encoded = encoder.encode(text.as_py()) + tail
+            for key, body in zip(batch.column("id"), encoder.encode_batch(batch.column("text").to_pylist())):
+                encoded = body + tail
                 tokens = len(encoded) // 4
                 for start in range(0, tokens, window):
                     part = encoded[4 * start : 4 * (start + window)]
