@@ -138,7 +138,8 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
     top = _most(gram_counts, ["lang", "length"], "gram", grams).collect()
 
     def table(rows: list[tuple[str, str, int]], total: dict[str, int]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        floor = np.array([math.log(0.5 / max(1, total.get(lang, 0))) for lang in languages])
+        # One floor for all languages: what is not known must not speak for the one with the smallest corpus.
+        floor = np.full(len(languages), math.log(0.5 / max(1, *total.values(), 1)))
         at = {lang: i for i, lang in enumerate(languages)}
         out: dict[str, np.ndarray] = {}
         for lang, item, n in rows:

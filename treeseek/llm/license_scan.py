@@ -47,39 +47,39 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Notices that licenses ask for, and their labels.
+# Notices that licenses ask for and names they go by, and their labels. Of a name of up to four words,
+# every word is needed at the threshold above, so the word that tells it from others cannot be the one that is missing.
 TEMPLATES = (
-    ("agpl", "licensed under the GNU Affero General Public License, version 3"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
+    ("agpl", "GNU Affero General"),
+    ("apache", "Apache License 2.0"),
     (
         "apache",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
         "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
+    ("bsd", "BSD License"),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met",
     ),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
-    ("cc0", "Creative Commons CC0 1.0 Universal public domain dedication"),
-    ("gpl", "licensed under the GNU General Public License, version 3"),
+    ("cc-by", "Creative Commons Attribution"),
+    ("cc-by-nc", "CC BY-NC"),
+    ("cc-by-nd", "CC BY-ND"),
+    ("cc-by-sa", "CC BY-SA"),
+    ("cc0", "CC0 1.0 Universal"),
     (
         "gpl",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation",
     ),
-    ("lgpl", "licensed under the GNU Lesser General Public License"),
-    ("mit", "Released under the MIT License"),
+    ("lgpl", "GNU Lesser General"),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction",
     ),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("mpl", "Mozilla Public License"),
     ("proprietary", "All rights reserved"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
