@@ -62,6 +62,31 @@ def fold_string(text: str) -> str:
     return folded
 
 
+def unfolded(term: str) -> str:
+    """A pattern of all texts that fold to a term."""
+    forms: dict[str, list[str]] = {}
+    for accented, plain in (*zip(_ACCENTED, _PLAIN), *WIDE_FOLDS.items()):
+        forms.setdefault(plain.lower(), []).append(accented)
+    wide = sorted((plain for plain in forms if len(plain) > 1), key=len, reverse=True)
+    out, at = [], 0
+    while at < len(term):
+        piece = next((p for p in wide if term.startswith(p, at)), None)
+        if piece is not None:
+            apart = "".join(unfolded_letter(c, forms) for c in piece)
+            out.append(f"(?:{apart}|{'|'.join(forms[piece])})")
+            at += len(piece)
+        else:
+            out.append(unfolded_letter(term[at], forms))
+            at += 1
+    return "".join(out)
+
+
+def unfolded_letter(letter: str, forms: dict[str, list[str]]) -> str:
+    own = letter if letter.isalnum() else f"\\x{{{ord(letter):x}}}"
+    same = "".join(forms.get(letter, ()))
+    return f"[{own}{same}]" if same else own
+
+
 @dataclass(frozen=True)
 class Analyzer:
     """Tokeniser and filters; the default lower-cases and splits into words."""
@@ -107,7 +132,9 @@ class Analyzer:
         if self.tokenizer == "keyword":
             found = [value]
         else:
-            found = re.findall(r"[^\W_]+" if self.tokenizer == "word" else r"[^\W\d_]+", value)
+            # The categories that the stored side's patterns name.
+            kinds = "LN" if self.tokenizer == "word" else "L"
+            found = "".join(c if unicodedata.category(c)[0] in kinds else " " for c in value).split(" ")
         return [t for t in found if t and t not in self.stop_words]
 
 

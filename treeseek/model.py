@@ -8,18 +8,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from treeseek.functions.html import BUCKETS
-
 # Weight of a match per bucket.
 FIELD_BOOSTS = {"h1": 20.0, "h2": 12.0, "h3": 10.0, "h4": 5.0, "h5": 3.0, "h6": 2.0, "text": 1.0}
-# Limits.
+# Limits. Those of keywords and assets hold only where they are asked for.
 KEYWORD_LIMIT = 8191
 ASSET_SIZE_LIMIT = 104_857_600
 ASSET_TEXT_LIMIT = 100_000
 DEFAULT_PAGE = 10
 DEFAULT_BUCKETS = 10
 HIGHLIGHT_SIZE, HIGHLIGHT_COUNT, HIGHLIGHT_NO_MATCH = 150, 2, 150
-FLUSH_ELEMENTS, FLUSH_OCTETS = 500, 40_000_000
+FLUSH_OCTETS = 40_000_000
 
 TAG_DISABLED = "disabled"
 TAG_REMOVED = "removed"
@@ -29,7 +27,6 @@ NO_DIMENSION = "default"
 KEYS = ("workspace", "dimension", "node_id")
 
 GEO_POINT = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
-FULLTEXT = T.StructType([T.StructField(b, T.StringType()) for b in BUCKETS])
 
 NODES = (
     "node_id string, parent_id string, workspace string, dimension string, type string, "

@@ -1,7 +1,8 @@
 """Filter clauses as Columns.
 
 Missing values make a positive clause false and an exclusion true. A clause on
-a multi-valued field holds if any element does.
+a multi-valued field holds if any element does. With a ``cap``, text values
+longer than it are as if they were missing, for every clause alike.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import types as T
 
 from treeseek.errors import QueryError
 from treeseek.functions import dates, geo
-from treeseek.model import KEYWORD_LIMIT
 
 CLAUSES = ("must", "should", "must_not", "filter")
 
@@ -63,7 +63,15 @@ def field_type(df: DataFrame, name: str) -> T.DataType:
     return kind
 
 
-def _any(df: DataFrame, name: str, test: Callable[[Column], Column]) -> Column:
+def _capped(df: DataFrame, name: str, cap: int | None) -> bool:
+    kind = field_type(df, name)
+    text = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    return cap is not None and isinstance(text, T.StringType)
+
+
+def _any(df: DataFrame, name: str, test: Callable[[Column], Column], cap: int | None = None) -> Column:
+    if _capped(df, name, cap):
+        return _any(df, name, lambda c: test(c) & (F.length(c) <= cap))
     if isinstance(field_type(df, name), T.ArrayType):
         return F.exists(F.col(name), test)
     return test(F.col(name))
@@ -78,16 +86,20 @@ def _typed(df: DataFrame, name: str, raw: object) -> Column:
     return literal
 
 
-def term(df: DataFrame, name: str, wanted: object) -> Column:
-    if isinstance(wanted, str) and len(wanted) > KEYWORD_LIMIT:
+def _findable(wanted: object, cap: int | None) -> bool:
+    return cap is None or not isinstance(wanted, str) or len(wanted) <= cap
+
+
+def term(df: DataFrame, name: str, wanted: object, cap: int | None = None) -> Column:
+    if not _findable(wanted, cap):
         return F.lit(False)
     if isinstance(field_type(df, name), T.ArrayType):
         return F.array_contains(F.col(name), _typed(df, name, wanted))
     return F.col(name) == _typed(df, name, wanted)
 
 
-def terms(df: DataFrame, name: str, wanted: Sequence[object]) -> Column:
-    plain = [w for w in wanted if w is not None and not (isinstance(w, str) and len(w) > KEYWORD_LIMIT)]
+def terms(df: DataFrame, name: str, wanted: Sequence[object], cap: int | None = None) -> Column:
+    plain = [w for w in wanted if w is not None and _findable(w, cap)]
     if not plain:
         return F.lit(False)
     literals = [_typed(df, name, w) for w in plain]
@@ -95,38 +107,31 @@ def terms(df: DataFrame, name: str, wanted: Sequence[object]) -> Column:
         return F.arrays_overlap(F.col(name), F.array(*literals))
     if any(isinstance(w, (Column, datetime, date)) or dates.is_relative(w) for w in plain):
         return disjunction([F.col(name) == v for v in literals])
-    return F.col(name).isin([w.node_id if hasattr(w, "node_id") else w for w in plain])
+    return F.col(name).isin(literals)
 
 
-def exclude(df: DataFrame, name: str, unwanted: object) -> Column:
+def exclude(df: DataFrame, name: str, unwanted: object, cap: int | None = None) -> Column:
+    if not _findable(unwanted, cap):
+        return F.lit(True)
     if isinstance(field_type(df, name), T.ArrayType):
         return negation(term(df, name, unwanted))
     # Null-safe, so that it stays one comparison that Parquet understands.
     return ~F.col(name).eqNullSafe(_typed(df, name, unwanted))
 
 
-def range_(df: DataFrame, name: str, **bounds: object) -> Column:
+def range_(df: DataFrame, name: str, cap: int | None = None, **bounds: object) -> Column:
     unknown = set(bounds) - set(BOUNDS)
     if unknown:
         raise QueryError(f"unknown range bounds: {sorted(unknown)}")
     limits = [(BOUNDS[b], _typed(df, name, raw)) for b, raw in bounds.items()]
-    kind = field_type(df, name)
-    capped = isinstance(kind, T.StringType) or (
-        isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType)
-    )
-
-    def one(bound, limit):
-        if capped:
-            return _any(df, name, lambda c: bound(c, limit) & (F.length(c) <= KEYWORD_LIMIT))
-        return _any(df, name, lambda c: bound(c, limit))
-
-    if isinstance(kind, T.ArrayType):
-        return F.exists(F.col(name), lambda c: conjunction(b(c, v) for b, v in limits))
-    return conjunction(one(b, v) for b, v in limits)
+    # All bounds hold for one and the same element.
+    if isinstance(field_type(df, name), T.ArrayType) or _capped(df, name, cap):
+        return _any(df, name, lambda c: conjunction(b(c, v) for b, v in limits), cap)
+    return conjunction(b(F.col(name), v) for b, v in limits)
 
 
-def prefix(df: DataFrame, name: str, start: str) -> Column:
-    return _any(df, name, lambda c: c.startswith(start) & (F.length(c) <= KEYWORD_LIMIT))
+def prefix(df: DataFrame, name: str, start: str, cap: int | None = None) -> Column:
+    return _any(df, name, lambda c: c.startswith(start), cap)
 
 
 def geo_distance(df: DataFrame, name: str, origin: object, distance: str | float) -> Column:

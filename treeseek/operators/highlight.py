@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from treeseek.functions import let
+from treeseek.functions.analysis import unfolded
 from treeseek.model import HIGHLIGHT_COUNT, HIGHLIGHT_NO_MATCH, HIGHLIGHT_SIZE
 from treeseek.operators.relevance import TextQuery
 
@@ -23,6 +24,8 @@ def term_pattern(query: TextQuery) -> str | None:
         for term in atom.terms:
             # Terms are letters and digits only unless a keyword analyser made them.
             quoted = "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in term)
+            if atom.folded:
+                quoted = unfolded(term)
             words.append(quoted + (f"{_INNER}*" if atom.kind == "prefix" else ""))
     if not words:
         return None

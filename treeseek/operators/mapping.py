@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,10 +64,15 @@ def to_column(value: Column, mapping: str) -> Column:
     return value.try_cast(COLUMN_TYPES[mapping])
 
 
-def schema_of(types: NodeTypes) -> dict[str, str]:
-    """Field → index type over all types; a conflict raises, see :func:`conflicts`."""
+def schema_of(types: NodeTypes, indexed: Callable[[str], bool] = lambda name: True) -> dict[str, str]:
+    """Field → index type over all types that can have documents; a conflict raises, see :func:`conflicts`.
+
+    Abstract types and those that are not ``indexed`` take no part.
+    """
     fields: dict[str, str] = {}
     for node_type in types:
+        if node_type.abstract or not indexed(node_type.name):
+            continue
         for name, prop in types.properties(node_type.name).items():
             mapping = mapped_type(prop)
             if mapping is None:
@@ -94,6 +101,6 @@ def warnings(properties: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def searchable(keyword: Column) -> Column:
-    """A keyword longer than the cap is stored but cannot be found."""
-    return F.when(F.length(keyword) <= KEYWORD_LIMIT, keyword)
+def searchable(keyword: Column, cap: int | None = KEYWORD_LIMIT) -> Column:
+    """With a cap, a longer keyword is stored but cannot be found."""
+    return keyword if cap is None else F.when(F.length(keyword) <= cap, keyword)

@@ -64,21 +64,42 @@ def resolve_in_target(changes: DataFrame, nodes: DataFrame) -> tuple[DataFrame,
     return changes.join(nodes, keys, "inner"), changes.join(nodes.select(*keys), keys, "left_anti")
 
 
-def property_columns(types: NodeTypes, drop: tuple[str, ...] = ()) -> list[Column]:
-    """One typed column per mapped property, after its indexing expression."""
-    custom: dict[str, Callable] = {}
-    for node_type in types:
-        for name, prop in types.properties(node_type.name).items():
-            if mapped_type(prop) and callable(prop.indexing):
-                custom[name] = prop.indexing
+def is_indexable(type_name: str, settings: Mapping[str, bool] | None) -> bool:
+    """:func:`indexable` for the name of a type."""
+    if settings is None:
+        return True
+    namespace = f"{type_name.partition(':')[0]}:*"
+    return bool(next((settings[k] for k in (type_name, namespace, "*") if k in settings), False))
+
+
+def property_columns(
+    types: NodeTypes, drop: tuple[str, ...] = (), settings: Mapping[str, bool] | None = None
+) -> list[Column]:
+    """One typed column per mapped property, after the indexing expression of the node's own type.
+
+    A type that switches a property off has null in its column, whatever other
+    types do with it.
+    """
     columns = []
-    for name, mapping in sorted(schema_of(types).items()):
+    for name, mapping in sorted(schema_of(types, lambda t: is_indexable(t, settings)).items()):
         if name in drop:
             continue
         stored = F.col("properties").getItem(name)
-        if name in custom:
-            stored = custom[name](stored, F.col)
-        columns.append(to_column(stored, mapping).alias(name))
+        # Types by what they do with the property: nothing, an expression of theirs, or no index at all.
+        by_use: dict[Callable | None, list[str]] = {}
+        for node_type in types:
+            prop = types.properties(node_type.name).get(name)
+            if prop is None:
+                continue
+            if mapped_type(prop) is None:
+                by_use.setdefault(None, []).append(node_type.name)
+            elif callable(prop.indexing):
+                by_use.setdefault(prop.indexing, []).append(node_type.name)
+        value = to_column(stored, mapping)
+        for use, names in by_use.items():
+            own = F.lit(None) if use is None else to_column(use(stored, F.col), mapping)
+            value = F.when(F.col("type").isin(names), own).otherwise(value)
+        columns.append(value.alias(name))
     return columns
 
 
@@ -119,7 +140,7 @@ def project(
         "created",
         "last_modified",
         F.col("original_last_modified").alias("last_published"),
-        *property_columns(types),
+        *property_columns(types, settings=settings),
     )
 
 

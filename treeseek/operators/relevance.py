@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeseek.errors import QueryError
-from treeseek.functions.analysis import Analyzer
+from treeseek.functions.analysis import Analyzer, AnalyzerSet
 from treeseek.model import FIELD_BOOSTS
 from treeseek.operators.filters import conjunction, disjunction
 from treeseek.operators.text_index import TextIndex
@@ -28,12 +28,34 @@ DECIMALS = 6
 _WORD = re.compile(r'([+\-]?)(?:"([^"]*)"?|([^\s|"]+))|(\|)')
 
 
+# What a document is told apart by: an id alone may be the same in several dimensions.
+DOCUMENT = ("dimension", "workspace", "doc_id")
+
+
+@dataclass(frozen=True)
+class Scope:
+    """Where an analyser is the one that counts: some fields, or some dimensions; the rest if ``others``."""
+
+    column: str
+    names: tuple[str, ...]
+    others: bool = False
+    # Fields with an analyser of their own do not follow the dimension.
+    except_fields: tuple[str, ...] = ()
+
+    def condition(self) -> Column:
+        inside = F.col(self.column).isin(list(self.names))
+        here = ~inside if self.others else inside
+        return here & ~F.col("field").isin(list(self.except_fields)) if self.except_fields else here
+
+
 @dataclass(frozen=True)
 class Atom:
-    """A word, a prefix or a phrase."""
+    """A word, a prefix or a phrase, as an analyser sees it where that one counts."""
 
     kind: str
     terms: tuple[str, ...]
+    scope: Scope | None = None
+    folded: bool = False
 
 
 @dataclass(frozen=True)
@@ -61,19 +83,33 @@ class TextQuery:
         return list(dict.fromkeys(a for c in self.positive for a in c.atoms))
 
     @classmethod
-    def words(cls, text: str, analyzer: Analyzer | None = None, operator: str = "or") -> TextQuery:
+    def words(
+        cls,
+        text: str,
+        analyzer: Analyzer | AnalyzerSet | None = None,
+        operator: str = "or",
+        dimensions: Sequence[str] | None = None,
+    ) -> TextQuery:
         """Plain words; a trailing ``*`` asks for a prefix."""
-        return cls.simple(re.sub(r'["|]|(^|\s)[+\-]', " ", text), analyzer, operator)
+        return cls.simple(re.sub(r'["|]|(^|\s)[+\-]', " ", text), analyzer, operator, dimensions)
 
     @classmethod
-    def simple(cls, text: str, analyzer: Analyzer | None = None, operator: str = "or") -> TextQuery:
+    def simple(
+        cls,
+        text: str,
+        analyzer: Analyzer | AnalyzerSet | None = None,
+        operator: str = "or",
+        dimensions: Sequence[str] | None = None,
+    ) -> TextQuery:
         """Words, ``"phrases"``, ``prefix*``, ``+required``, ``-excluded``, ``a | b``.
 
-        What makes no sense is left out: a stray sign, an empty phrase.
+        What makes no sense is left out: a stray sign, an empty phrase. Of a set
+        of analysers each sees the words for the dimensions and fields it is
+        for; ``dimensions`` are those that are searched, if not all.
         """
         if operator.lower() not in ("or", "and"):
             raise QueryError(f"operator must be or / and, not {operator!r}")
-        analyzer = analyzer or Analyzer()
+        scoped = _scopes(analyzer or Analyzer(), dimensions)
         default = "required" if operator.lower() == "and" else "optional"
         clauses: list[Clause] = []
         joining = False
@@ -81,16 +117,16 @@ class TextQuery:
             if bar:
                 joining = bool(clauses)
                 continue
-            atoms = _atoms(phrase, word, analyzer)
-            if not atoms:
+            places = _places(phrase, word, scoped)
+            if not places:
                 continue
             mode = {"+": "required", "-": "excluded"}.get(sign, default)
             if joining and clauses[-1].mode != "excluded":
                 last = clauses.pop()
-                clauses.append(Clause((*last.atoms, *atoms), last.mode))
+                clauses.append(Clause((*last.atoms, *[a for place in places for a in place]), last.mode))
             else:
                 # One word that the analyser splits stays several clauses.
-                clauses.extend(Clause((a,), mode) for a in atoms)
+                clauses.extend(Clause(place, mode) for place in places)
             joining = False
         return cls(tuple(clauses))
 
@@ -105,6 +141,33 @@ def _atoms(phrase: str, word: str, analyzer: Analyzer) -> list[Atom]:
     return [Atom("word", (t,)) for t in analyzer.terms(word)]
 
 
+def _scopes(
+    analyzer: Analyzer | AnalyzerSet, dimensions: Sequence[str] | None
+) -> list[tuple[Scope | None, Analyzer]]:
+    """Each analyser that can meet a stored text, and where."""
+    if isinstance(analyzer, Analyzer):
+        return [(None, analyzer)]
+    own_fields = tuple(sorted(analyzer.by_field))
+    found = [(Scope("field", (name,)), analyzer.by_field[name]) for name in own_fields]
+    asked = [d for d in analyzer.by_dimension if dimensions is None or d in dimensions]
+    found += [(Scope("dimension", (d,), except_fields=own_fields), analyzer.by_dimension[d]) for d in asked]
+    if dimensions is None or set(dimensions) - set(asked):
+        rest = Scope("dimension", tuple(analyzer.by_dimension), True, own_fields) if asked or own_fields else None
+        found.append((rest, analyzer.default))
+    return found
+
+
+def _places(phrase: str, word: str, scoped: Sequence[tuple[Scope | None, Analyzer]]) -> list[tuple[Atom, ...]]:
+    """The atoms of a word, place by place: at each, what every analyser has there."""
+    seen = [
+        [replace(a, scope=scope, folded=analyzer.fold) for a in _atoms(phrase, word, analyzer)]
+        for scope, analyzer in scoped
+    ]
+    longest = max((len(atoms) for atoms in seen), default=0)
+    # Where one analyser splits and another does not, the last piece of the shorter one stands for the rest.
+    return [tuple(atoms[min(i, len(atoms) - 1)] for atoms in seen if atoms) for i in range(longest)]
+
+
 def idf(n_docs: Column, df: Column) -> Column:
     return F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
 
@@ -115,7 +178,8 @@ def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
 
 def _same_term(atom: Atom) -> Column:
     term = F.col("term")
-    return term.startswith(atom.terms[0]) if atom.kind == "prefix" else term.isin(list(atom.terms))
+    same = term.startswith(atom.terms[0]) if atom.kind == "prefix" else term.isin(list(atom.terms))
+    return same if atom.scope is None else same & atom.scope.condition()
 
 
 def candidates(index: TextIndex, query: TextQuery, fields: Sequence[str]) -> DataFrame:
@@ -158,7 +222,7 @@ def score(
     query: TextQuery,
     boosts: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Rows (doc_id, score) of all documents that match the query.
+    """Rows (dimension, workspace, doc_id, score) of all documents that match the query.
 
     One aggregation by document; only postings of query terms reach it.
     """
@@ -182,15 +246,15 @@ def score(
                 aggregates.append(F.max(F.when(here & _same_term(atom), F.lit(1.0))).alias(key))
             else:
                 for i, term in enumerate(atom.terms):
-                    hit = here & (F.col("term") == term)
+                    hit = here & _same_term(atom) & (F.col("term") == term)
                     aggregates.append(F.max(F.when(hit, F.col("positions"))).alias(f"{key}_{i}"))
                 any_term = here & _same_term(atom)
                 aggregates.append(F.max(F.when(any_term, F.col("dl"))).alias(f"{key}_dl"))
                 aggregates.append(F.max(F.when(any_term, F.col("avg_dl"))).alias(f"{key}_avg"))
                 for i, term in enumerate(atom.terms):
-                    hit = here & (F.col("term") == term)
+                    hit = here & _same_term(atom) & (F.col("term") == term)
                     aggregates.append(F.max(F.when(hit, weight)).alias(f"{key}_idf{i}"))
-    grouped = rows.groupBy("doc_id").agg(*aggregates)
+    grouped = rows.groupBy(*DOCUMENT).agg(*aggregates)
 
     def value(atom: Atom, f: int) -> Column:
         key = f"a{query.atoms.index(atom)}_f{f}"
@@ -215,13 +279,7 @@ def score(
         for f, name in enumerate(fields)
     ]
     best = F.greatest(*per_field) if len(per_field) > 1 else per_field[0]
-    return grouped.where(condition).select("doc_id", F.round(1.0 + best, DECIMALS).alias("score"))
-
-
-def matching(index: TextIndex, query: TextQuery, fields: Sequence[str]) -> DataFrame:
-    """Ids of documents with any term of the query, for exclusion."""
-    wanted = disjunction(_same_term(a) for a in query.atoms)
-    return index.postings.where(F.col("field").isin(list(fields)) & wanted).select("doc_id").distinct()
+    return grouped.where(condition).select(*DOCUMENT, F.round(1.0 + best, DECIMALS).alias("score"))
 
 
 def attach(docs: DataFrame, index: TextIndex, query: TextQuery, boosts: Mapping[str, float] | None = None) -> DataFrame:
@@ -230,6 +288,6 @@ def attach(docs: DataFrame, index: TextIndex, query: TextQuery, boosts: Mapping[
     if not query.clauses:
         return docs.where(F.lit(False)).withColumn("score", F.lit(1.0))
     if query.positive:
-        return docs.join(score(index, query, boosts), "doc_id")
+        return docs.join(score(index, query, boosts), list(DOCUMENT))
     unwanted = score(index, TextQuery(tuple(Clause(c.atoms) for c in query.clauses)), boosts)
-    return docs.join(unwanted.select("doc_id"), "doc_id", "left_anti").withColumn("score", F.lit(1.0))
+    return docs.join(unwanted.select(*DOCUMENT), list(DOCUMENT), "left_anti").withColumn("score", F.lit(1.0))

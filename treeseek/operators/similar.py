@@ -10,17 +10,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeseek.operators.filters import disjunction
-from treeseek.operators.relevance import idf
+from treeseek.operators.relevance import DOCUMENT, idf
 from treeseek.operators.text_index import TextIndex, tokenise
 
 _TERMS = "field string, term string, tf bigint"
 
 
-def terms_of_strings(index: TextIndex, texts: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Term counts of literal texts."""
+def terms_of_strings(
+    index: TextIndex, texts: Sequence[str], fields: Sequence[str], dimensions: Sequence[str] | None = None
+) -> DataFrame:
+    """Term counts of literal texts, as each analyser that the dimensions and fields have sees them.
+
+    A term that several of them find counts as often as the one that finds it most.
+    """
+    own = index.analyzers.by_dimension
+    asked = list(own) + [None] if dimensions is None else list(dimensions)
     rows = []
     for name in fields:
-        counts = Counter(t for text in texts for t in index.analyzers.pick(field_name=name).terms(text))
+        counts: Counter = Counter()
+        for analyzer in {index.analyzers.pick(d, name) for d in asked}:
+            counts |= Counter(t for text in texts for t in analyzer.terms(text))
         rows.extend((name, term, tf) for term, tf in sorted(counts.items()))
     return index.postings.sparkSession.createDataFrame(rows, _TERMS)
 
@@ -79,7 +88,7 @@ def more_like_this(
     min_doc_freq: int = 5,
     minimum_should_match: float = 0.3,
 ) -> DataFrame:
-    """(doc_id, matched) of documents with enough of the selected terms."""
+    """(dimension, workspace, doc_id, matched) of documents with enough of the selected terms."""
     # At most max_query_terms rows. They are fetched, so that the postings are
     # looked up by literal terms and not read as a whole.
     chosen = select_terms(index, counts, max_query_terms, min_term_freq, min_doc_freq).collect()
@@ -89,12 +98,12 @@ def more_like_this(
     wanted = disjunction((F.col("field") == f) & F.col("term").isin(terms) for f, terms in sorted(by_field.items()))
     found = (
         index.postings.where(wanted)
-        .groupBy("doc_id")
+        .groupBy(*DOCUMENT)
         .agg(F.count("*").alias("matched"))
         .where(F.col("matched") >= required_matches(len(chosen), minimum_should_match))
     )
     if exclude is not None:
-        found = found.join(exclude.select("doc_id"), "doc_id", "left_anti")
+        found = found.join(exclude.select(*DOCUMENT), list(DOCUMENT), "left_anti")
     return found
 
 

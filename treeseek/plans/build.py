@@ -54,12 +54,7 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     documents = projection.project(scoped, tree.nodes, config.types, config.type_settings, config.doc_id)
     if config.limit is not None:
         documents = node_source.limit_per_index(documents, config.limit)
-    checks = {
-        "no document id": F.col("doc_id").isNotNull(),
-        "unknown type": F.col("type_closure").isNotNull(),
-        **config.checks,
-    }
-    good, bad = validity.split(documents, checks, run_id)
+    good, bad = validity.split(documents, checks_of(config), run_id)
 
     # Written, so that HTML is taken apart once although ranges are found by reading twice.
     extracted = materialise(
@@ -77,6 +72,15 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     return Built(docs, chunks.drop("chunk"), tree.nodes, text, bad, lost, tree.unreachable)
 
 
+def checks_of(config: BuildConfig) -> dict[str, Column]:
+    """What every document must hold, by the name of what is wrong if it does not."""
+    return {
+        "no document id": F.col("doc_id").isNotNull(),
+        "unknown type": F.col("type_closure").isNotNull(),
+        **config.checks,
+    }
+
+
 def skeleton(nodes: DataFrame, config: BuildConfig) -> DataFrame:
     """The columns that place a node, in every dimension that shows it.
 

@@ -8,6 +8,7 @@ the same files.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -44,6 +45,11 @@ def _key(kind: str) -> tuple[str, str, str]:
     return ("workspace", "dimension", CHANGING[kind])
 
 
+def view_suffix(dimension: str) -> str:
+    """A dimension as part of a view name; all others have another one, whatever the case of letters counts for."""
+    return re.sub(r"[^a-z0-9]", lambda m: f"_{ord(m.group()):x}", dimension)
+
+
 def index_names_with_postfix(names: DataFrame, postfix: str, column: str = "index_name") -> DataFrame:
     """Names that end in the postfix, whatever the prefix holds."""
     return names.where(F.col(column).endswith("-" + postfix))
@@ -156,7 +162,7 @@ class IndexStore:
         vocabulary = term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         self._write(vocabulary, version, "term_stats")
         seen = Observation()
-        self._write(validity.counted(built.errors, seen), version, "errors")
+        self._write(validity.counted(built.errors, seen), version, "errors", ("run_id",))
         self.error_count = seen.get["errors"]
         tree = built.tree.repartitionByRange("dimension", "workspace", "path").sortWithinPartitions(
             "dimension", "workspace", "path"
@@ -194,10 +200,16 @@ class IndexStore:
         self._view(f"{self.alias}_v_{version}", self._current(version, "docs"))
         rows = self.spark.table(self._table(version, "docs")).select("dimension").distinct()
         # One name per configured dimension: a short list.
+        served = set()
         for (dimension,) in rows.collect():
-            safe = re.sub(r"[^A-Za-z0-9_]", "_", dimension)
-            quoted = dimension.replace("'", "\\'")
-            self._view(f"{self.alias}_in_{safe}", self._current(version, "docs"), f"dimension = '{quoted}'")
+            name = f"{self.alias}_in_{view_suffix(dimension)}"
+            quoted = dimension.replace("\\", "\\\\").replace("'", "\\'")
+            self._view(name, self._current(version, "docs"), f"dimension = '{quoted}'")
+            served.add(name.lower())
+        # A dimension that is gone leaves no view behind.
+        for row in self.spark.sql(f"SHOW VIEWS IN {self.database} LIKE '{self.alias}_in_*'").collect():
+            if not row.isTemporary and row.viewName.lower() not in served:
+                self.spark.sql(f"DROP VIEW IF EXISTS {self.database}.{row.viewName}")
         self._record(self._event(version, rows, "live"))
 
     def _view(self, name: str, source: str, condition: str | None = None) -> None:
@@ -244,13 +256,15 @@ class IndexStore:
         batch_id: int,
         changes: Mapping[str, tuple[DataFrame, DataFrame]],
         postings: tuple[DataFrame, DataFrame] | None = None,
+        errors: DataFrame | None = None,
     ) -> None:
         """Put a batch of changes over the live version; views and version stay.
 
         ``changes``: per kind the keys that are replaced and the rows that take
         their place. ``postings``: those of the replaced
-        documents before and after, for the statistics. A batch that is sent
-        again replaces itself.
+        documents before and after, for the statistics. ``errors``: documents
+        of the batch that were held back. A batch that is sent again replaces
+        itself, also if it has fewer rows or none.
         """
         version = self.live_version()
         if version is None:
@@ -265,11 +279,25 @@ class IndexStore:
             for kind, deltas in zip(("term_stats", "field_stats"), stats_change(*postings)):
                 self._put(deltas, f"{self._table(version, kind)}_changes", batch_id)
 
+        if errors is not None:
+            target = self._table(version, "errors")
+            columns = [c for c in self.spark.table(target).columns if c != "run_id"]
+            self._overwrite(errors.select(columns), target, f"run_id = 'batch-{int(batch_id)}'")
+
     def _put(self, df: DataFrame, target: str, batch_id: int) -> None:
-        marked = df.withColumn(_BATCH, F.lit(int(batch_id)).cast("bigint"))
-        marked.select(self.spark.table(target).columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(target)
+        columns = [c for c in self.spark.table(target).columns if c != _BATCH]
+        self._overwrite(df.select(columns), target, f"{_BATCH} = {int(batch_id)}")
+
+    def _overwrite(self, df: DataFrame, target: str, partition: str) -> None:
+        """Put ``df`` in the place of one partition, which is emptied even if ``df`` is empty."""
+        view = f"_put_{uuid.uuid4().hex}"
+        # A stream's batch belongs to a session of its own; tables are the same in all of them.
+        session = df.sparkSession
+        df.createOrReplaceTempView(view)
+        try:
+            session.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({partition}) SELECT * FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)
 
     def compact(self, version: str | None = None) -> str:
         """Fold the changes into a new version and make it live."""

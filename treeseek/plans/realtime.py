@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from treeseek.functions.html import BUCKETS
 from treeseek.functions.paths import ancestors
 from treeseek.model import KEYS
-from treeseek.operators import hierarchy, projection, rollup, text_index
+from treeseek.operators import hierarchy, projection, rollup, text_index, validity
 from treeseek.operators.filters import disjunction
-from treeseek.plans.build import BuildConfig, skeleton, variation_frame
+from treeseek.plans.build import BuildConfig, checks_of, skeleton, variation_frame
 from treeseek.plans.publish import IndexStore
 from treeseek.session import materialise, materialise_counted
 from treeseek.streaming.changes import REMOVE, latest, prepare
@@ -18,8 +18,6 @@ from treeseek.streaming.changes import REMOVE, latest, prepare
 _KEYS = list(KEYS)
 # Up to this many keys are looked up as literals, beyond it the join alone decides.
 LOOKUP = 1_000
-# Up to this many changed paths are sent to every task that reads the tree.
-BROADCAST = 100_000
 
 
 def lookup(df: DataFrame, keys: DataFrame, n: int, column: str = "node_id") -> DataFrame:
@@ -35,15 +33,21 @@ def lookup(df: DataFrame, keys: DataFrame, n: int, column: str = "node_id") -> D
 
 def below(tree: DataFrame, changed: DataFrame, n: int) -> DataFrame:
     """Keys of what lies below changed nodes, where these were placed before."""
-    marked = lookup(tree, changed, n).select("workspace", "dimension", "path")
+    place = ["workspace", "dimension", "path"]
+    marked = lookup(tree, changed, n).select(*place)
     if n <= LOOKUP:
+        # Literal paths go down to the files; which workspace and dimension, the join below decides.
         paths = [r.path for r in marked.select("path").distinct().collect()]
-        return tree.where(disjunction(F.col("path").startswith(p + "/") for p in paths)).select(*_KEYS)
-    if n <= BROADCAST:
-        # Counted: at most this many rows, so the tree is not shuffled by its prefixes.
-        marked = F.broadcast(marked)
-    prefixes = tree.select(*_KEYS, F.explode(ancestors(F.col("path"))).alias("path"))
-    return prefixes.join(marked, ["workspace", "dimension", "path"], "left_semi").select(*_KEYS)
+        tree = tree.where(disjunction(F.col("path").startswith(p + "/") for p in paths))
+    # Only paths as deep as a changed one can match, so that with changes far down the top of the tree,
+    # which all rows share, is not among the keys.
+    depth = F.size(F.split(F.col("path"), "/"))
+    shallowest, deepest = marked.agg(F.min(depth), F.max(depth)).first()
+    if shallowest is None:
+        return tree.select(*_KEYS).limit(0)
+    above = F.slice(ancestors(F.col("path")), F.lit(shallowest), F.lit(deepest - shallowest + 1))
+    prefixes = tree.select(*_KEYS, F.explode(above).alias("path"))
+    return prefixes.join(marked, place, "left_semi").select(*_KEYS).distinct()
 
 
 def in_all_dimensions(changes: DataFrame, config: BuildConfig) -> DataFrame:
@@ -121,7 +125,10 @@ def apply_changes(
         .join(kept_text, _KEYS, "left")
         .select(*plain, F.coalesce("fulltext", "old_text").alias("fulltext"))
     )
-    new_docs = materialise(new_docs, "new-docs")
+    # As in the build: what fails a check is left out and kept among the errors.
+    good, bad = validity.split(new_docs, checks_of(config), f"batch-{batch_id}")
+    bad = materialise(bad, "new-errors")
+    new_docs = materialise(good, "new-docs")
     replaced, n_replaced = materialise_counted(keys.unionByName(page_keys).distinct(), "replaced-keys")
 
     def postings_of(some: DataFrame) -> DataFrame:
@@ -145,6 +152,7 @@ def apply_changes(
             "postings": (doc_ids, new_postings),
         },
         (old_postings, new_postings),
+        bad,
     )
 
 

@@ -29,7 +29,7 @@ from treeseek.operators import suggest as suggestions_
 from treeseek.operators.aggregate import Aggregations
 from treeseek.operators.highlight import highlight_columns
 from treeseek.operators.overlay import chain, first_hit, overlay
-from treeseek.operators.relevance import TextQuery
+from treeseek.operators.relevance import DOCUMENT, TextQuery
 from treeseek.operators.text_index import TextIndex, restrict
 from treeseek.session import materialise
 
@@ -61,7 +61,7 @@ class Search:
     filter_: tuple[Column, ...] = ()
     min_should: int | None = None
     show_hidden: bool = False
-    text_query: TextQuery | None = None
+    text_query: tuple[str, str, str] | None = None
     text_boosts: Mapping[str, float] | None = None
     like: tuple | None = None
     highlights: tuple[tuple[str, int, int | None, int], ...] = ()
@@ -170,13 +170,20 @@ class Search:
 
     # Full text
 
-    def _analyzer(self):
+    def _words(self) -> TextQuery | None:
+        """The query in the terms of the dimensions that are searched, whichever were asked for first or last."""
+        if self.text_query is None:
+            return None
         if self.index.text is None:
             raise QueryError("this index has no full text")
-        dimension = self.dimensions[0] if self.dimensions and len(self.dimensions) == 1 else None
-        return self.index.text.analyzers.pick(dimension)
+        kind, words, operator = self.text_query
+        return getattr(TextQuery, kind)(words, self.index.text.analyzers, operator, self.dimensions)
 
-    def _text(self, query: TextQuery, fields: object) -> Search:
+    def _text(self, kind: str, words: str, operator: str, fields: object) -> Search:
+        if self.index.text is None:
+            raise QueryError("this index has no full text")
+        getattr(TextQuery, kind)(words, None, operator)  # an unknown operator is told at once
+        query = (kind, words, operator)
         boosts = None
         if fields is not None:
             named = fields.items() if isinstance(fields, Mapping) else (f.partition("^")[::2] for f in fields)
@@ -185,11 +192,11 @@ class Search:
 
     def fulltext(self, words: str, default_operator: str = "or", fields: object = None) -> Search:
         """Documents with the words, ranked, with highlights."""
-        return self._text(TextQuery.words(words, self._analyzer(), default_operator), fields)
+        return self._text("words", words, default_operator, fields)
 
     def simple_fulltext(self, words: str, default_operator: str = "or", fields: object = None) -> Search:
         """As :meth:`fulltext`, with phrases, prefixes and signs; what is broken is ignored."""
-        return self._text(TextQuery.simple(words, self._analyzer(), default_operator), fields)
+        return self._text("simple", words, default_operator, fields)
 
     def highlight(
         self,
@@ -295,16 +302,16 @@ class Search:
         nodes = [i["node_id"] if isinstance(i, Mapping) else i.node_id for i in items if not isinstance(i, str)]
         counts, exclude = None, None
         if strings:
-            counts = similar.terms_of_strings(text, strings, fields)
+            counts = similar.terms_of_strings(text, strings, fields, self.dimensions)
         if nodes:
             # Looked up among the documents this query would see.
             known = docs.where(F.col("node_id").isin(nodes))
-            exclude = known.select("doc_id")
+            exclude = known.select(*DOCUMENT)
             found = similar.terms_of_documents(text, known, fields)
             both = found if counts is None else counts.unionByName(found)
             counts = both.groupBy("field", "term").agg(F.sum("tf").alias("tf"))
         matches = similar.more_like_this(text, counts, exclude, **options)
-        return docs.join(matches.select("doc_id"), "doc_id", "left_semi")
+        return docs.join(matches.select(*DOCUMENT), list(DOCUMENT), "left_semi")
 
     def _scoped_text(self) -> TextIndex:
         if self.index.text is None:
@@ -339,7 +346,7 @@ class Search:
             docs = self._like_documents(docs)
         if self.text_query is not None:
             boosts = self.text_boosts or self.index.boosts
-            docs = relevance.attach(docs, self._scoped_text(), self.text_query, boosts)
+            docs = relevance.attach(docs, self._scoped_text(), self._words(), boosts)
         else:
             docs = docs.withColumn("score", F.lit(1.0))
         if functions and self.score_functions:
@@ -359,31 +366,33 @@ class Search:
             columns = [c for c in columns if c in found.columns]
         if "score" not in columns:
             columns.append("score")
-        page, order = ordering.page(found, self.sort_keys, self.limit_, self.offset_, columns)
-        if self.highlights and self.text_query is not None and "fulltext" in self.index.docs.columns:
+        held = self.index.docs.schema["fulltext"].dataType.fieldNames() if "fulltext" in self.index.docs.columns else ()
+        marks = [h for h in self.highlights if h[0] in held] if self.text_query is not None else []
+        added = [c for c in DOCUMENT if c not in columns and c != "doc_id"] if marks else []
+        page, order = ordering.page(found, self.sort_keys, self.limit_, self.offset_, [*columns, *added])
+        if marks:
             joined = self._with_text(page)
-            page = joined.withColumn("highlight", highlight_columns(self.highlights, self.text_query)).orderBy(
-                *order
-            )
-            if self.columns is not None:
-                page = page.drop("fulltext")
+            page = joined.withColumn("highlight", highlight_columns(marks, self._words())).orderBy(*order)
+            page = page.drop(*added, *(["fulltext"] if self.columns is not None else []))
         return page
 
     def _with_text(self, page: DataFrame) -> DataFrame:
         """The page with its full text, which never goes through the sort.
 
-        A page of limited size is fetched first: its documents are then looked
-        up by literal path and id, and the text of all others is not read.
+        It is joined by the whole key, so the result is the same for a page of
+        any size. A short page is fetched first: literal ids and paths then keep
+        the text of all other documents from being read.
         """
         docs = self.index.docs
+        keys = list(DOCUMENT)
         if self.limit_ is None or self.limit_ > _FETCHED_PAGE:
-            return page.join(docs.select("doc_id", "fulltext"), "doc_id", "left")
+            return page.join(docs.select(*keys, "fulltext"), keys, "left")
         rows = page.collect()
         found = docs.where(F.col("doc_id").isin([r.doc_id for r in rows]))
         if "path" in page.columns:
             found = found.where(F.col("path").isin([r.path for r in rows]))
         fetched = page.sparkSession.createDataFrame(rows, page.schema, verifySchema=False)
-        return fetched.join(found.select("doc_id", "fulltext"), "doc_id", "left")
+        return fetched.join(found.select(*keys, "fulltext"), keys, "left")
 
     def execute(self) -> SearchResult:
         return SearchResult(self)
@@ -435,7 +444,11 @@ class SearchResult:
 
     def hit_for_node(self, node_id: str, path: str | None = None) -> DataFrame:
         """The raw hit of a node, or the value at a dotted path in it."""
-        row = self.hits().where(F.col("node_id") == node_id)
+        search = self.search
+        if search.limit_ is None and not search.offset_:
+            # All hits: the node is picked before anything is put in order.
+            search = search.transform(lambda docs: docs.where(F.col("node_id") == node_id))
+        row = search.hits().where(F.col("node_id") == node_id)
         return row.select(value_at(row, path).alias("value"))
 
     def sort_values(self, node_id: str) -> DataFrame:

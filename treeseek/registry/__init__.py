@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from treeseek.registry import aggregations, building, clauses, fulltext, maintenance, tree  # noqa: F401
+    from treeseek.registry import aggregations, building, clauses, fulltext, live, maintenance, tree  # noqa: F401

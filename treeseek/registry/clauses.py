@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from treeseek.functions import dates
 from treeseek.functions.geo import distance_m
+from treeseek.model import KEYWORD_LIMIT
 from treeseek.operators import filters
 from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
@@ -284,6 +285,14 @@ def first_result(spark, sf_dir):
     "SELECT doc_id FROM documents WHERE length(text) <= 8191 AND text > 'The'",
 )
 def keyword_cap(spark, sf_dir):
-    """Values beyond the keyword limit are never found."""
+    """With the cap that a field may have, values beyond it are not found."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.where(filters.range_(docs, "text", gt="The")).select("doc_id")
+    return docs.where(filters.range_(docs, "text", cap=KEYWORD_LIMIT, gt="The")).select("doc_id")
+
+
+@query("keyword_whole", "SELECT doc_id FROM documents WHERE text > 'The' AND NOT starts_with(text, 'Then')")
+def keyword_whole(spark, sf_dir):
+    """Values of any length are found."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = filters.range_(docs, "text", gt="The") & ~filters.prefix(docs, "text", "Then")
+    return docs.where(found).select("doc_id")

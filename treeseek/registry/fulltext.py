@@ -24,7 +24,8 @@ TEXT = {"text": 1.0}
 
 
 def _matched(spark, sf_dir, text, operator="or"):
-    return relevance.score(document_index(spark, sf_dir), TextQuery.simple(text, Analyzer(), operator), TEXT)
+    found = relevance.score(document_index(spark, sf_dir), TextQuery.simple(text, Analyzer(), operator), TEXT)
+    return found.select("doc_id", "score")
 
 
 @query(
@@ -235,7 +236,7 @@ parts AS (
 )
 def bm25_buckets(spark, sf_dir):
     """Best field with bucket weights, over HTML pages."""
-    return relevance.score(page_index(spark, sf_dir), TextQuery.words("ther tion und elle"))
+    return relevance.score(page_index(spark, sf_dir), TextQuery.words("ther tion und elle")).select("doc_id", "score")
 
 
 @query(

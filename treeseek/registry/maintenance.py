@@ -126,13 +126,13 @@ def stream_upsert(spark, sf_dir):
 @query(
     "publish_to_target",
     f"""WITH t AS (SELECT event_id, user_id, event_type, value, CASE WHEN event_type = 'purchase' THEN 'live' ELSE 'draft' END
-      AS workspace FROM events WHERE event_type IN ('purchase', 'view'))
+      AS workspace FROM events)
     SELECT user_id AS doc_id, workspace, value FROM t WHERE workspace = 'live'
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
 )
 def publish_to_target(spark, sf_dir):
     """Only changes that end up live count when drafts are not indexed."""
-    drafts = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "view")).select(
+    drafts = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("doc_id"), F.col("event_id").alias("seq"), F.lit("draft").alias("workspace"),
         F.when(F.col("event_type") == "purchase", "live").alias("target_workspace"), "value",
     )

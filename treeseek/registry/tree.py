@@ -226,10 +226,10 @@ def first_hit_per_node(spark, sf_dir):
 
 @query(
     "stale_hits",
-    """SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS live FROM documents WHERE lang = 'fr'""",
+    """SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS live FROM documents""",
 )
 def stale_hits(spark, sf_dir):
     """Hits with a node behind them, and those without, told apart."""
-    hits = documents(spark, sf_dir).where(F.col("dimension") == "fr").select("doc_id")
+    hits = documents(spark, sf_dir).select("doc_id")
     live, stale = overlay.live_hits(hits, table(spark, sf_dir, "labels"), ["doc_id"])
     return live.withColumn("live", F.lit(True)).unionByName(stale.withColumn("live", F.lit(False)))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.functions.html import plain, visible
-from treeseek.model import ASSET_SIZE_LIMIT, ASSET_TEXT_LIMIT
 
 # Fields of an extracted asset.
 ASSET_FIELDS = (
@@ -16,12 +15,14 @@ ASSET_FIELDS = (
 )
 
 
-def read(spark: SparkSession, path: str, cap: int = ASSET_SIZE_LIMIT, **options: str) -> DataFrame:
-    """Files with their content; a file above the cap keeps its row without content.
+def read(spark: SparkSession, path: str, cap: int | None = None, **options: str) -> DataFrame:
+    """Files with their content; with a cap, a file above it keeps its row without content.
 
     The size is known before the content is read, so oversized files are not loaded.
     """
     files = spark.read.format("binaryFile").options(**options).load(path)
+    if cap is None:
+        return files
     small = files.where(F.col("length") <= cap)
     large = files.where(F.col("length") > cap).select(
         "path", "modificationTime", "length", F.lit(None).cast("binary").alias("content")
@@ -38,11 +39,10 @@ def _first(html: Column, pattern: str) -> Column:
     return F.nullif(plain(F.regexp_extract(html, pattern, 1)), F.lit(""))
 
 
-def fields(text: Column, name: Column, length: Column, limit: int | None = ASSET_TEXT_LIMIT) -> Column:
+def fields(text: Column, name: Column, length: Column, limit: int | None = None) -> Column:
     """The fields of an HTML or plain-text asset.
 
-    ``content`` ends at the limit that the extraction has by definition; with
-    ``None`` it is whole.
+    ``content`` is whole unless a limit of characters is given.
     """
     is_html = text.rlike(r"(?is)<(?:!doctype|html|head|body)[\s>]")
     without_head = F.regexp_replace(visible(text), r"(?is)<head[^>]*>.*?</head>", " ")
