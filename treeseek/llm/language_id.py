@@ -3,7 +3,7 @@
 Counts of words per language are taken over all training documents, and counts
 of character n-grams over those words. The model keeps the ``WORDS`` most
 frequent words of each language and the ``GRAMS`` most frequent n-grams of each
-length, so its size is bounded whatever the corpus; it is broadcast.
+length (at most: items that tie where the limit falls stay out), so its size is bounded whatever the corpus; it is broadcast.
 
 A word that the model knows scores by its logarithmic frequency in each
 language. An unknown word falls back to its n-grams of the greatest length of
@@ -97,19 +97,16 @@ def word_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _most(counts: DataFrame, keys: list[str], item: str, keep: int) -> DataFrame:
-    """The most frequent items per key, in pieces first, so that no task sees all of a language."""
-    order = [F.desc("n"), F.col(item)]
-    piece = F.pmod(F.xxhash64(item), F.lit(256))
-    thinned = counts.withColumn("_piece", piece).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*order))
-    )
-    return (
-        thinned.where(F.col("_rank") <= keep)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        .where(F.col("_rank") <= keep)
-        .drop("_piece", "_rank")
-    )
+def _most(counts: DataFrame, keys: list[str], keep: int) -> DataFrame:
+    """The most frequent items per key, ``keep`` at most: items that tie where the limit falls stay out.
+
+    The limit comes from how many items have each frequency, so the items of a
+    language never meet in one task.
+    """
+    sizes = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("items"))
+    upto = F.sum("items").over(Window.partitionBy(*keys).orderBy(F.desc("n")))
+    limits = sizes.withColumn("upto", upto).where(F.col("upto") <= keep).groupBy(*keys).agg(F.min("n").alias("least"))
+    return counts.join(limits, keys).where(F.col("n") >= F.col("least")).drop("least")
 
 
 def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:
@@ -117,7 +114,7 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
     counts = materialise(word_counts(training), "word-counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = tuple(sorted(totals))
-    known = _most(counts.where(F.col("n") >= MIN_COUNT), ["lang"], "word", words).collect()
+    known = _most(counts.where(F.col("n") >= MIN_COUNT), ["lang"], words).collect()
 
     lengths = F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("length")
     padded = F.when(F.col("length") > 1, F.concat(F.lit(" "), "word", F.lit(" "))).otherwise(F.col("word"))
@@ -135,7 +132,7 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
         (r["lang"], r["length"]): r["n"]
         for r in gram_counts.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect()
     }
-    top = _most(gram_counts, ["lang", "length"], "gram", grams).collect()
+    top = _most(gram_counts, ["lang", "length"], grams).collect()
 
     def table(rows: list[tuple[str, str, int]], total: dict[str, int]) -> tuple[dict[str, np.ndarray], np.ndarray]:
         # One floor for all languages: what is not known must not speak for the one with the smallest corpus.
