@@ -386,7 +386,7 @@ def more_like_this(spark, sf_dir):
     """Documents like the texts of another table."""
     index = document_index(spark, sf_dir)
     counts = similar.terms_of_table(index, table(spark, sf_dir, "benchmark"), ["text"])
-    return similar.more_like_this(index, counts)
+    return similar.more_like_this(index, counts).select("doc_id", "matched")
 
 
 @query(
