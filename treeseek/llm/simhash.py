@@ -16,6 +16,13 @@ linked fingerprints are named after one of them; pairs are never listed.
 Connected components come from contracting those links in rounds, each written
 to the shared folder.
 
+``one_of_similar`` is for a pipeline: it links by Jaccard similarity of shingle
+sets. Several independent fingerprints (bands of minima) find the candidates;
+each link is checked on the sets themselves, read again for candidates only. In
+each bucket of a band, members are compared with a few of them, leaders; those
+linked need no more comparing with each other, and the others meet twice as many
+leaders in the next round, until all of a bucket are linked or have met.
+
 Defined results: null and empty texts, and texts without words, have
 fingerprint zero and are linked like any other; a row with a null id belongs to
 its component but is never its name; a component of null ids only has a null
@@ -33,14 +40,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeseek.llm.components import components
-from treeseek.llm.rows import HOT_ROWS, field, located, without
-from treeseek.operators.skew import hot_keys, join_unique
+from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted, without
+from treeseek.operators.skew import first_n, hot_keys, join_unique
 from treeseek.session import materialise, spread
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 
+# What the pipeline's stage links: texts whose sets of five-word shingles have this Jaccard similarity.
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+# At similarity 0.8, a pair shares none of the bands with probability (1 - 0.8 ** 5) ** 32, 3 in a million.
+BANDS = 32
+BAND_ROWS = 5
+
 _ALL = (1 << 64) - 1
 # Bit k of the syndrome is the parity of the positions 1 to 63 that have bit k.
 _CHECKS = [sum(1 << i for i in range(64) if i >> k & 1) for k in range(6)]
@@ -51,18 +65,24 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """The SimHash of a text's word shingles, as an unsigned number."""
+def shingles(text: str | None, words: int) -> list[int]:
+    """The hashes of a text's word shingles; a text of fewer words is one shingle, one of none has none."""
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return 0
+        return []
     joined = b" ".join(tokens)
     if len(tokens) < words:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        starts = np.cumsum([0] + [len(t) + 1 for t in tokens]).tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[words:])]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    starts = np.cumsum([0] + [len(t) + 1 for t in tokens]).tolist()
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[words:])]
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """The SimHash of a text's word shingles, as an unsigned number."""
+    hashes = shingles(text, words)
+    if not hashes:
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 255 * 64):
         part = np.array(hashes[at : at + 255 * 64], dtype=np.uint64)
@@ -174,3 +194,128 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
     stays = found.groupBy(*key).agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
     return without(placed, found.join(stays, "row", "left_anti"))
+
+
+def bands(found: np.ndarray, n_bands: int = BANDS) -> list[int]:
+    """Hashes of ``BAND_ROWS`` minima each: two sets share one with the probability (Jaccard) ** BAND_ROWS."""
+    values = (found >> np.uint64(32)).astype(np.uint32)
+    draw = np.random.default_rng(SEED)
+    factors = draw.integers(0, 1 << 32, (2, n_bands * BAND_ROWS), dtype=np.uint32)
+    least = np.full(n_bands * BAND_ROWS, (1 << 32) - 1, dtype=np.uint32)
+    for at in range(0, len(values), 4096):
+        part = values[at : at + 4096, None] * (factors[0] | np.uint32(1)) + factors[1]
+        least = np.minimum(least, part.min(axis=0))
+    rows = least.reshape(n_bands, BAND_ROWS)
+    return [_signed(xxhash.xxh64_intdigest(rows[i].tobytes(), i)) for i in range(n_bands)]
+
+
+def _shingle_set(text: str | None, words: int) -> np.ndarray:
+    return np.unique(np.array(shingles(text, words), dtype=np.uint64))
+
+
+def _sketched(texts: DataFrame, words: int, n_bands: int) -> DataFrame:
+    """row, id, size (number of different shingles) and bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_shingle_set(t.as_py(), words) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row"), batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([bands(s, n_bands) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["row", "id", "size", "bands"],
+            )
+
+    schema = texts.select("row", "id", F.lit(0).cast("bigint").alias("size"), F.array(F.lit(0).cast("bigint")).alias("bands"))
+    return texts.mapInArrow(run, schema.schema)
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_shingle_set(t.as_py(), words).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
+            )
+
+    return texts.mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, hot: int) -> DataFrame:
+    """Of pairs (a, b) of nodes, those whose shingle sets have the similarity."""
+    for end in ("a", "b"):
+        large = hot_keys(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n")), [end], hot)
+        right = sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}"))
+        pairs = join_unique(pairs, right, [end], large, ["b" if end == "a" else "a"])
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    union = F.size("of_a") + F.size("of_b") - common
+    # Two texts without words are alike.
+    return pairs.where((union == 0) | (common / F.greatest(union, F.lit(1)) >= similarity)).select("a", "b")
+
+
+def similar_groups(
+    placed: DataFrame, id_column: str, text_column: str, words: int, similarity: float, n_bands: int = BANDS,
+    hot: int = HOT_ROWS,
+) -> DataFrame:
+    """row, id and root of the rows of :func:`located` that have a similar one; root names their group."""
+    texts = placed.select("row", field(id_column).alias("id"), field(text_column).alias("text"))
+    found = _sketched(spread(texts), words, n_bands).withColumn("node", F.monotonically_increasing_id())
+    found = materialise(found, "sketches")
+    spots = found.select("node", "size", F.explode("bands").alias("bucket"))
+    often = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bits = materialise(sieve(often.select(F.xxhash64("bucket").alias("h"))), "shared-bands")
+    passed = sifted(spots, F.xxhash64("bucket"), bits).where("maybe").drop("maybe")
+    live = materialise(passed.withColumn("label", F.col("node")), "band-members")
+
+    wanted = materialise(found.join(live.select("node").distinct(), "node", "left_semi").select("row", "node"), "alike")
+    marked = sifted(texts, F.xxhash64("row"), sieve(wanted.select(F.xxhash64("row").alias("h"))))
+    read_again = marked.where("maybe").join(wanted, "row").select("node", "text")
+    sets = materialise(_sets(read_again, words), "shingle-sets")
+
+    edges, roots, leaders_each = None, None, 1
+    while True:
+        # Buckets whose members are linked already, or that have one left, are done.
+        counts = live.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+        )
+        counts = materialise(counts.where("n > 1 and low <> high").select("bucket", "n"), "open-buckets")
+        if counts.isEmpty():
+            break
+        large = hot_keys(counts, ["bucket"], hot)
+        live = materialise(join_unique(live, counts.drop("n"), ["bucket"], large, ["node"]), "band-members")
+        drawn = [F.xxhash64(F.lit(leaders_each), "bucket", "node"), F.col("node")]
+        led = first_n(live, ["bucket"], drawn, leaders_each, ["node"]).groupBy("bucket").agg(
+            F.collect_list(F.struct("node", "label", "size")).alias("leaders")
+        )
+        led = materialise(led, "leaders")
+        met = join_unique(live, led, ["bucket"], large, ["node"])
+        each = met.select("node", "label", "size", F.explode("leaders").alias("to"))
+        near = F.least("size", "to.size") >= F.greatest("size", "to.size") * (similarity - 1e-9)
+        pairs = each.where((F.col("label") != F.col("to.label")) & near).select(
+            F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")
+        )
+        pairs = materialise(pairs.distinct(), "pairs")
+        links = materialise(_verified(pairs, sets, similarity, hot), "links")
+        edges = links if edges is None else edges.unionByName(links)
+        roots = materialise(components(edges, hot), "roots")
+        # A leader has met all of its bucket.
+        live = met.where(~F.exists("leaders", lambda x: x["node"] == F.col("node"))).drop("leaders", "label")
+        live = live.join(roots.withColumnRenamed("root", "label"), "node", "left")
+        live = materialise(live.withColumn("label", F.coalesce("label", "node")), "band-members")
+        leaders_each *= 2
+    if roots is None:
+        return found.select("row", "id", F.col("node").alias("root")).limit(0)
+    return found.select("row", "id", "node").join(roots, "node").select("row", "id", "root")
+
+
+def one_of_similar(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SIMILAR_WORDS,
+    similarity: float = SIMILARITY, hot: int = HOT_ROWS,
+) -> DataFrame:
+    """``docs`` without all but one row of each group linked by similarity: that with the smallest id, nulls last."""
+    placed = located(docs)
+    found = materialise(similar_groups(placed, id_column, text_column, words, similarity, hot=hot), "similar")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
+    stays = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
+    return without(placed, found.join(stays, "row", "left_anti"))
