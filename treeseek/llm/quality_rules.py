@@ -6,7 +6,7 @@ digits unified, is hashed, and the documents of a host that have it are counted
 — copies of a whole document once, so that a document is not boilerplate merely
 because it was copied. Lines above the limit are removed; where they were most
 of a document, the document is rejected, unless what is left is still a text of
-some length.
+some length. ``accepted`` returns the texts without those lines.
 
 Only hashes and counts are shuffled: a document sends each of its lines once,
 summed per task, and what comes back are the frequent lines. They are joined as
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeseek.llm.rows import HOT_ROWS, field, located, without
+from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted
 from treeseek.operators.skew import hot_keys, join_unique
 from treeseek.session import materialise, spread
 
@@ -53,6 +53,17 @@ _SCHEMA = (
 )
 
 
+def line_key(tokens: list[bytes]) -> int:
+    """The hash of a line, given its words."""
+    return xxhash.xxh64_intdigest(_DIGITS.sub(b"0", b" ".join(tokens).lower())) - (1 << 63)
+
+
+def without_lines(text: str, gone: set[int]) -> str:
+    """``text`` without the lines whose hashes are in ``gone``."""
+    left = [x for x in text.encode().split(b"\n") if not (tokens := x.split()) or line_key(tokens) not in gone]
+    return b"\n".join(left).decode()
+
+
 @dataclass(frozen=True)
 class Limits:
     min_words: int = MIN_WORDS
@@ -100,7 +111,7 @@ def examine(text: str | None) -> tuple[dict[str, int], dict[int, int]]:
         if line in seen:
             duplicates += 1
         seen.add(line)
-        key = xxhash.xxh64_intdigest(_DIGITS.sub(b"0", b" ".join(tokens).lower())) - (1 << 63)
+        key = line_key(tokens)
         lines[key] = lines.get(key, 0) + len(tokens)
     stats = {
         "n_words": len(words),
@@ -139,7 +150,7 @@ def judge(
     hot: int = HOT_ROWS,
 ) -> DataFrame:
     """row, id, the statistics, base_failed, removed_words and kept for each row of ``docs``."""
-    return _judged(located(docs), id_column, text_column, host_column, limits, hot)
+    return _judged(located(docs), id_column, text_column, host_column, limits, hot).drop("gone")
 
 
 def _judged(
@@ -155,7 +166,8 @@ def _judged(
     # A null host differs from all names: names get a mark in front.
     host = F.coalesce(F.concat(F.lit("="), "host"), F.lit(""))
     lines = examined.withColumn("line", F.explode("lines")).select(
-        "row", "content", F.xxhash64(host, "line.line").alias("key"), F.col("line.words").alias("words")
+        "row", "content", F.xxhash64(host, "line.line").alias("key"), F.col("line.words").alias("words"),
+        F.col("line.line").alias("line"),
     )
     # Documents with the same words count once: the first step is one row per line and content.
     counted = (
@@ -167,19 +179,24 @@ def _judged(
     large = hot_keys(frequent.select("key", "n"), ["key"], hot)
     removed = (
         join_unique(lines, frequent.select("key"), ["key"], large, ["row"])
-        .groupBy("row").agg(F.sum("words").alias("removed_words"))
+        .groupBy("row")
+        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("gone"))
     )
     base_failed = (F.col("n_words") < limits.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated_percent
     )
-    left = F.col("n_words") - F.col("removed_words")
-    depleted = (F.col("removed_words") > F.col("n_words") * limits.depleted_share) & (left < limits.min_words)
-    return (
-        examined.drop("lines", "content", "host")
+    mostly = F.col("removed_words") > F.col("n_words") * limits.depleted_share
+    depleted = mostly & (F.col("n_words") - F.col("removed_words") < limits.min_words)
+    found = (
+        examined.drop("lines", "content")
         .join(removed, "row", "left")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint")))
         .withColumn("base_failed", base_failed)
-        .withColumn("kept", ~F.col("base_failed") & ~depleted)
+    )
+    found = materialise(found, "removed-lines")
+    return (
+        found.withColumn("kept", ~F.col("base_failed") & ~depleted)
+        .drop("host")
     )
 
 
@@ -189,8 +206,34 @@ def accepted(
     text_column: str = "text",
     host_column: str = "source",
     limits: Limits = Limits(),
+    length_column: str = "n_chars",
 ) -> DataFrame:
-    """``docs`` without the rejected ones."""
+    """``docs`` without the rejected ones, and without the frequent lines of the others.
+
+    ``length_column``, if there is one, then has the characters that are left.
+    """
     placed = located(docs)
     found = _judged(placed, id_column, text_column, host_column, limits)
-    return without(placed, found.where(~F.col("kept")))
+    changed = found.where(~F.col("kept") | (F.col("removed_words") > 0))
+    changed = materialise(changed.select("row", "kept", "gone"), "changed")
+    h = F.xxhash64("row")
+    marked = sifted(placed, h, sieve(changed.select(h.alias("h"))))
+    clear = marked.where("not maybe").select("doc.*")
+    maybe = marked.where("maybe").join(changed, "row", "left").where(F.coalesce("kept", F.lit(True)))
+    maybe = maybe.select("doc", field(text_column).alias("text"), "gone")
+
+    def stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+                texts.append(without_lines(text, set(gone)) if gone else None)
+            columns = [batch.column("doc"), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "left"])
+
+    cleaned = maybe.mapInArrow(stripped, maybe.select("doc", F.col("text").alias("left")).schema)
+    new = {text_column: F.col("left"), length_column: F.length("left")}
+    kinds = dict(docs.dtypes)
+    columns = [
+        F.coalesce(new[c].cast(kinds[c]), field(c)).alias(c) if c in new else field(c).alias(c) for c in docs.columns
+    ]
+    return clear.unionByName(cleaned.select(*columns))
