@@ -8,6 +8,10 @@ because it was copied. Lines above the limit are removed; where they were most
 of a document, the document is rejected, unless what is left is still a text of
 some length. ``accepted`` returns the texts without those lines.
 
+Copies that differ in a line or so share all their other lines, which are then
+frequent, and would all go. So of the documents that had most of their words in
+the same frequent lines, two at least, the first one is spared: it is kept whole.
+
 Only hashes and counts are shuffled: a document sends each of its lines once,
 summed per task, and what comes back are the frequent lines. They are joined as
 Spark sees fit for their number, a line that is in very many documents being
@@ -150,7 +154,7 @@ def judge(
     hot: int = HOT_ROWS,
 ) -> DataFrame:
     """row, id, the statistics, base_failed, removed_words and kept for each row of ``docs``."""
-    return _judged(located(docs), id_column, text_column, host_column, limits, hot).drop("gone")
+    return _judged(located(docs), id_column, text_column, host_column, limits, hot).drop("spared", "gone")
 
 
 def _judged(
@@ -180,7 +184,7 @@ def _judged(
     removed = (
         join_unique(lines, frequent.select("key"), ["key"], large, ["row"])
         .groupBy("row")
-        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("gone"))
+        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("gone"), F.bit_xor("key").alias("same"))
     )
     base_failed = (F.col("n_words") < limits.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated_percent
@@ -194,9 +198,15 @@ def _judged(
         .withColumn("base_failed", base_failed)
     )
     found = materialise(found, "removed-lines")
+    # The hash of a line's key has the host in it, and so has what they are combined to.
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
+    copies = found.where(~F.col("base_failed") & mostly & (F.size("gone") > 1))
+    spared = copies.groupBy("same").agg(F.min(order).alias("first")).select("first.row", F.lit(True).alias("spared"))
     return (
-        found.withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("host")
+        found.join(spared, "row", "left")
+        .withColumn("spared", F.coalesce("spared", F.lit(False)))
+        .withColumn("kept", ~F.col("base_failed") & (~depleted | F.col("spared")))
+        .drop("host", "same")
     )
 
 
@@ -208,13 +218,13 @@ def accepted(
     limits: Limits = Limits(),
     length_column: str = "n_chars",
 ) -> DataFrame:
-    """``docs`` without the rejected ones, and without the frequent lines of the others.
+    """``docs`` without the rejected ones, and without the frequent lines of the others but those spared.
 
     ``length_column``, if there is one, then has the characters that are left.
     """
     placed = located(docs)
     found = _judged(placed, id_column, text_column, host_column, limits)
-    changed = found.where(~F.col("kept") | (F.col("removed_words") > 0))
+    changed = found.where(~F.col("kept") | ((F.col("removed_words") > 0) & ~F.col("spared")))
     changed = materialise(changed.select("row", "kept", "gone"), "changed")
     h = F.xxhash64("row")
     marked = sifted(placed, h, sieve(changed.select(h.alias("h"))))
