@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.llm import (
+    collocations,
     exact_dedup,
     language_id,
     license_scan,
@@ -240,3 +241,42 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the sentences removed that an earlier document has."""
     found = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op11_collocations",
+    r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM p CROSS JOIN (SELECT unnest(range(1, 6)) AS size) AS s WHERE len(w) >= size) AS x),
+f AS (SELECT lang, phrase, size, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+gone AS (
+  SELECT DISTINCT l.lang, part.phrase
+  FROM (SELECT lang, w, a, part_size, unnest(range(1, size - part_size + 2)) AS i
+        FROM c CROSS JOIN (SELECT unnest(range(2, 5)) AS part_size) AS s WHERE part_size < size) AS l
+  JOIN f AS part ON part.lang = l.lang AND part.phrase = array_to_string(l.w[l.i:l.i + l.part_size - 1], ' ')
+  WHERE 100 * l.a >= 100 * part.f),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c ANTI JOIN gone USING (lang, phrase)) AS x),
+scored AS (
+  SELECT x.lang, x.phrase, x.a, x.k, lf.f AS l, rf.f AS r, total.n,
+         CAST((1000::HUGEINT * x.a * total.n) // (lf.f::HUGEINT * rf.f) AS BIGINT) AS score
+  FROM cuts AS x JOIN f AS lf ON lf.lang = x.lang AND lf.phrase = x.first_part
+  JOIN f AS rf ON rf.lang = x.lang AND rf.phrase = x.rest JOIN total ON total.lang = x.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words belong together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
