@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -39,39 +40,58 @@ CACHED_WORDS = 300_000
 _PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+# Every marker of the tokenizer starts with it.
+_MARKER = b"<|"
+
+
+class _Known(dict):
+    """Words with their ids; those of the present batch only lie beside them."""
+
+    fresh: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.fresh[word]
+
+
 class WordTokens:
     """Token ids of texts as little-endian 32-bit numbers.
 
     The tokenizer lower-cases, drops white space and never joins across it, so
     the ids of a text are those of its blank-separated words in turn, whatever
-    the case of A-Z. A task tokenises each different word of a batch once, some
-    at a time, and keeps the first ``cached`` words, among which are the
+    the case of A-Z. Its markers are read before it lower-cases: a word that may
+    hold one keeps its case. Each different word of a batch is tokenised once,
+    some at a time, and the first ``cached`` words are kept, among which are the
     frequent ones. A full stop or comma behind a letter or digit is a token of
     its own, so a word with one is not tokenised anew.
     """
 
-    _AT_ONCE = 50
+    _AT_ONCE = 200
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._cached = cached
-        self._known: dict[bytes, bytes] = {}
+        self._known = _Known()
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        split = [(t or "").encode().lower().split() for t in texts]
-        new = set().union(*split).difference(self._known)
-        fresh = self._tokens(new)
+        split = [self._words(t) for t in texts]
+        fresh = self._tokens(set().union(*split).difference(self._known))
         room = self._cached - len(self._known)
-        if len(fresh) <= room:
-            self._known.update(fresh)
-            fresh = self._known
-        else:
-            self._known.update(islice(fresh.items(), max(0, room)))
-            fresh = self._known | fresh
-        return [b"".join([fresh[w] for w in words]) for words in split]
+        self._known.update(islice(fresh.items(), max(0, room)))
+        self._known.fresh = fresh
+        known = self._known
+        out = [b"".join([known[w] for w in words]) for words in split]
+        self._known.fresh = {}
+        return out
+
+    @staticmethod
+    def _words(text: str | None) -> list[bytes]:
+        data = (text or "").encode()
+        if _MARKER not in data:
+            return data.lower().split()
+        return [w if _MARKER in w else w.lower() for w in data.split()]
 
     def _tokens(self, words: set[bytes]) -> dict[bytes, bytes]:
         stopped = {w for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalnum()}
@@ -97,12 +117,18 @@ class WordTokens:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a Python worker, so that later tasks find the words known."""
+    return WordTokens(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END_TOKEN, ids: bool = False) -> DataFrame:
     """(id, text) cut into full windows and a rest: id, start, length, ids_crc32, doc_tokens and, if asked, ids."""
     tail = struct.pack("<I", end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokens(tokenizer)
+        encoder = word_tokens(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for key, body in zip(batch.column("id"), encoder.encode_batch(batch.column("text").to_pylist())):
