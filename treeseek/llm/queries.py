@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from treeseek.llm import (
     collocations,
     exact_dedup,
+    grouped_packing,
     language_id,
     license_scan,
     mixing,
@@ -280,3 +281,10 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The phrases of each language whose words belong together most."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_grouped_packing")
+def op12_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece of each document with its place in one of few sequences."""
+    packed = grouped_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.withColumnRenamed("id", "doc_id")
