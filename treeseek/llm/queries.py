@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.llm import (
+    alignment,
     collocations,
     exact_dedup,
     grouped_packing,
@@ -288,3 +289,12 @@ def op12_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece of each document with its place in one of few sequences."""
     packed = grouped_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with how two tokenizers cut it."""
+    found = alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+    return found.withColumnRenamed("id", "doc_id")
