@@ -48,8 +48,8 @@ LONGEST = 5
 FIRST = 2000
 # A phrase goes if a longer one has at least this share of its occurrences, in percent.
 COVERED = 100
-# Words of a shard; its index takes some 60 bytes a word in one task.
-SHARD_WORDS = 2_000_000
+# Words of a shard; its index takes some 100 bytes a word in one task while it is sorted.
+SHARD_WORDS = 1_000_000
 
 _BREAK = b"."
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -98,15 +98,16 @@ class _Order:
                 rank = rank * n + np.roll(behind, -done)
             order, rank = _dense(rank)
             done += step
-        self.rows = order
-        self.row_of = np.empty(n, np.int64)
-        self.row_of[order] = np.arange(n)
+        del rank, single, behind
+        self.rows = order.astype(np.int32)
+        self.row_of = np.empty(n, np.int32)
+        self.row_of[order] = np.arange(n, dtype=np.int32)
         self.transform = symbols[order - 1]
         back = np.argsort(self.transform, kind="stable")
         # The row that starts one symbol earlier, and its reverse: the row without its first symbol.
-        self.earlier = np.empty(n, np.int64)
-        self.earlier[back] = np.arange(n)
-        self.later = back
+        self.earlier = np.empty(n, np.int32)
+        self.earlier[back] = np.arange(n, dtype=np.int32)
+        self.later = back.astype(np.int32)
 
     def start(self, places: np.ndarray, length: int) -> np.ndarray:
         """The first row of the interval of the phrase of ``length`` symbols at each place of the text."""
@@ -244,7 +245,7 @@ def _shards(texts: DataFrame, shard_words: int) -> DataFrame:
                 shard = open_shards.setdefault(lang, _Shard(lang))
                 shard.add(words)
                 total += len(words) + 1
-                if shard.size >= shard_words or total >= 3 * shard_words:
+                if shard.size >= shard_words or total >= 2 * shard_words:
                     # Many languages share the memory of one task.
                     largest = max(open_shards, key=lambda k: open_shards[k].size)
                     shard = open_shards.pop(largest)
