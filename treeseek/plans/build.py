@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from treeseek.functions.analysis import AnalyzerSet
 from treeseek.functions.ids import address_id
 from treeseek.model import KEYS, NodeTypes
-from treeseek.operators import hierarchy, projection, rollup, text_index, validity
+from treeseek.operators import hierarchy, projection, rollup, text_index, validity, workspaces
 from treeseek.operators.dimensions import specialise
 from treeseek.operators.text_index import TextIndex
 from treeseek.session import materialise
@@ -23,6 +23,8 @@ class BuildConfig:
     types: NodeTypes
     type_settings: Mapping[str, bool] | None = field(default_factory=lambda: {"*": True})
     index_all_workspaces: bool = True
+    # Each workspace with its base. Workspaces with a base may hold changes only.
+    workspaces: Mapping[str, str | None] = field(default_factory=dict)
     variation: Sequence[tuple[str, str, int]] = ()
     analyzers: AnalyzerSet = AnalyzerSet()
     doc_id: projection.IdGenerator = address_id
@@ -49,6 +51,11 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     folder, so that an executor loss costs one step and not the build."""
     spark = nodes.sparkSession
     scoped = projection.publish_to_target(projection.scope_to_live(nodes, config.index_all_workspaces))
+    layered = config.index_all_workspaces and any(config.workspaces.values())
+    if layered:
+        types = config.types.frame(spark)
+        scoped = workspaces.complete(scoped, config.workspaces, types, variants=bool(config.variation))
+        scoped = materialise(scoped, "whole-workspaces")
     tree = hierarchy.resolve(skeleton(scoped, config), config.types.frame(spark))
 
     documents = projection.project(scoped, tree.nodes, config.types, config.type_settings, config.doc_id)
@@ -68,7 +75,11 @@ def build(nodes: DataFrame, config: BuildConfig, run_id: str = "build") -> Built
     chunks = rollup.chunked(parts)
     text = page_index(chunks, config)
     fulltext = rollup.to_buckets(rollup.roll_up(chunks)).withColumnRenamed("root_id", "node_id")
-    docs = materialise(good.join(fulltext, list(KEYS), "left"), "documents")
+    docs = good.join(fulltext, list(KEYS), "left")
+    if layered:
+        gone = workspaces.tombstones(tree.nodes, config.workspaces, config.doc_id)
+        docs = docs.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
+    docs = materialise(docs, "documents")
     return Built(docs, chunks.drop("chunk"), tree.nodes, text, bad, lost, tree.unreachable)
 
 

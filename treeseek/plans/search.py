@@ -341,6 +341,8 @@ class Search:
             docs = overlay(docs, self.chain)
         elif self.chain:
             docs = docs.where(F.col("workspace").isin(list(self.chain)))
+        if "deleted" in docs.columns:
+            docs = docs.where(~F.coalesce("deleted", F.lit(False)))
         docs = docs.where(self.condition())
         if self.like is not None:
             docs = self._like_documents(docs)
