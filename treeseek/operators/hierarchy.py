@@ -119,18 +119,21 @@ def resolve(nodes: DataFrame, types: DataFrame | None = None, above: DataFrame |
 def closure_of(edges: DataFrame) -> DataFrame:
     """(type, ancestor) pairs of every type, itself included, from (type, supertype).
 
-    For type tables that come as data; the number of types bounds the steps.
+    For type tables that come as data: one recursive query, in which a way that
+    comes back to a type that it has passed ends.
     """
-    names = edges.select("type").union(edges.where("supertype is not null").select("supertype")).distinct()
-    reached = materialise(names.select("type", F.col("type").alias("ancestor")), "types")
-    frontier = reached
-    step = edges.where("supertype is not null").select(F.col("type").alias("ancestor"), "supertype")
-    while True:
-        found = frontier.join(step, "ancestor").select("type", F.col("supertype").alias("ancestor")).distinct()
-        frontier, new = materialise_counted(found.join(reached, ["type", "ancestor"], "left_anti"), "types")
-        if not new:
-            return reached
-        reached = materialise(reached.unionByName(frontier), "types")
+    return edges.sparkSession.sql(
+        """
+        WITH RECURSIVE above(type, ancestor, passed) AS (
+          SELECT type, type, array(type)
+          FROM (SELECT type FROM {edges} UNION SELECT supertype FROM {edges} WHERE supertype IS NOT NULL)
+          UNION ALL
+          SELECT above.type, step.supertype, array_append(above.passed, step.supertype)
+          FROM above JOIN {edges} AS step ON step.type = above.ancestor
+          WHERE step.supertype IS NOT NULL AND NOT array_contains(above.passed, step.supertype))
+        SELECT DISTINCT type, ancestor FROM above""",
+        edges=edges,
+    )
 
 
 def closest_roots(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
