@@ -36,12 +36,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeseek.llm.rows import HOT_ROWS, column, sieve, sifted
 from treeseek.operators.skew import first_n, hot_keys, join_unique
-from treeseek.session import materialise, materialise_counted, spread
+from treeseek.session import materialise, spread
 
 LEAST = 100
 LONGEST = 5
@@ -49,7 +50,12 @@ FIRST = 2000
 # A phrase goes if a longer one has at least this share of its occurrences, in percent.
 COVERED = 100
 # Words of a shard; its index takes some 100 bytes a word in one task while it is sorted.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 1_500_000
+
+# Phrases of a shard that lie in one row of its tables.
+_ROW = 5_000
+# Rows of an index that are extended together.
+_AT_ONCE = 200_000
 
 _BREAK = b"."
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -73,11 +79,13 @@ class Intervals:
 
 
 def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of ``keys``, and for each the number of different smaller ones."""
-    order = np.argsort(keys, kind="stable")
+    """The order of ``keys``, and for each the number of different smaller ones; 32 bits, as a shard is bounded."""
+    order = np.argsort(keys, kind="stable").astype(np.int32)
     in_order = keys[order]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.append(0, in_order[1:] != in_order[:-1]))
+    new = np.append(0, in_order[1:] != in_order[:-1]).astype(np.int32)
+    del in_order
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
     return order, rank
 
 
@@ -87,19 +95,19 @@ class _Order:
     def __init__(self, symbols: np.ndarray, depth: int):
         self.symbols = symbols
         n = len(symbols)
-        _, single = _dense(symbols.astype(np.int64))
+        _, single = _dense(symbols)
         rank, done, order = single, 1, None
         while order is None or done < depth:
             step = min(done, depth - done)
             if step < done:
                 step = min(step, 1)
-            behind = rank if step == done else single
+            keys = rank
             if step:
-                rank = rank * n + np.roll(behind, -done)
-            order, rank = _dense(rank)
+                keys = rank.astype(np.int64) * n + np.roll(rank if step == done else single, -done)
+            order, rank = _dense(keys)
             done += step
-        del rank, single, behind
-        self.rows = order.astype(np.int32)
+        del rank, single, keys
+        self.rows = order
         self.row_of = np.empty(n, np.int32)
         self.row_of[order] = np.arange(n, dtype=np.int32)
         self.transform = symbols[order - 1]
@@ -170,7 +178,27 @@ class BidirectionalIndex:
         return self.forward.later[phrases.forward]
 
 
+def _slices(counts: np.ndarray) -> Iterator[slice]:
+    """Runs of phrases with about ``_AT_ONCE`` rows together, so that the memory of a step is bounded."""
+    upto = np.cumsum(counts)
+    start = 0
+    while start < len(counts):
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + _AT_ONCE, side="right")))
+        yield slice(start, end)
+        start = end
+
+
 def _extended(side: _Order, starts: np.ndarray, others: np.ndarray, counts: np.ndarray):
+    """Of all extensions: rows in ``side``, rows in the other order, counts, the phrase extended, the word."""
+    found = [(np.zeros(0, np.int64),) * 5]
+    for part in _slices(counts):
+        own, other, size, parent, word = _extended_part(side, starts[part], others[part], counts[part])
+        found.append((own, other, size, parent + part.start, word))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _extended_part(side: _Order, starts: np.ndarray, others: np.ndarray, counts: np.ndarray):
     rows, owner = _ranges(starts, counts)
     symbol = side.transform[rows].astype(np.int64)
     key = owner * (int(symbol.max(initial=0)) + 1) + symbol
@@ -198,7 +226,7 @@ class _Shard:
     def __init__(self, lang: str):
         self.lang = lang
         self.ids: defaultdict[bytes, int] = defaultdict()
-        self.ids.default_factory = lambda: len(self.ids) + 1
+        self.ids.default_factory = self.ids.__len__
         self.ids[_BREAK] = 0
         self.parts: list[np.ndarray] = []
         self.size = 0
@@ -209,33 +237,55 @@ class _Shard:
         self.parts.append(part)
         self.size += len(part)
 
-    def closed(self) -> tuple:
-        # Only the break has number 0; the others count from 1 as they come.
+    def closed(self) -> tuple[np.ndarray, dict[str, object]]:
+        """Its text, and of each word: words, at (one place), n (how often)."""
         text = np.concatenate([np.zeros(1, np.int32), *self.parts])
-        found, first, count = np.unique(text, return_index=True, return_counts=True)
+        # Only the break has number 0; the others count from 1 as they come.
+        count = np.bincount(text)
+        first = np.empty(len(count), np.int32)
+        first[text[::-1]] = np.arange(len(text) - 1, -1, -1, dtype=np.int32)
         words = [w.decode() for w in self.ids if w != _BREAK]
-        real = found > 0
-        return self.lang, _packed(text), words, first[real].astype(np.int32), count[real].astype(np.int32)
+        return text, {"words": words, "at": first[1:], "n": count[1:].astype(np.int32)}
+
+
+_WORDS = pa.schema(
+    {
+        "shard": pa.int64(), "lang": pa.string(), "is_text": pa.bool_(), "text": pa.binary(),
+        "words": pa.list_(pa.string()), "at": pa.list_(pa.int32()), "n": pa.list_(pa.int32()),
+    }
+)
+_PHRASES = pa.schema(
+    {
+        "shard": pa.int64(), "lang": pa.string(), "is_text": pa.bool_(), "text": pa.binary(),
+        "at": pa.list_(pa.int32()), "n": pa.list_(pa.int32()), "head": pa.list_(pa.int64()),
+        "tail": pa.list_(pa.int64()),
+    }
+)
+_WORDS_DDL = (
+    "shard bigint, lang string, is_text boolean, text binary, words array<string>, at array<int>, n array<int>"
+)
+_PHRASES_DDL = (
+    "shard bigint, lang string, is_text boolean, text binary, at array<int>, n array<int>, "
+    "head array<bigint>, tail array<bigint>"
+)
 
 
-_STATE = "shard bigint, lang string, text binary, at array<int>, n array<int>, head array<bigint>, tail array<bigint>"
+def _rows(schema: pa.Schema, shard: int, lang: str, text: np.ndarray, lists: dict[str, object]) -> Iterator[pa.RecordBatch]:
+    """A shard's text in one row, and its phrases in rows of bounded length."""
+    rows = [{"text": _packed(text)}]
+    rows += [{k: v[i : i + _ROW] for k, v in lists.items()} for i in range(0, len(lists["n"]), _ROW)]
+    for row in rows:
+        row |= {"shard": shard, "lang": lang, "is_text": "text" in row}
+        yield pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
 
 
 def _shards(texts: DataFrame, shard_words: int) -> DataFrame:
-    """lang and text cut into shards: lang, text, words, at (one place of each word), n."""
-
-    def batch_of(shards: list[tuple]) -> pa.RecordBatch:
-        langs, bodies, words, at, n = zip(*shards)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()), pa.array(bodies, pa.binary()), pa.array(words, pa.list_(pa.string())),
-                pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32())),
-            ],
-            names=["lang", "text", "words", "at", "n"],
-        )
+    """lang and text cut into shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_shards: dict[str, _Shard] = {}
+        # Numbers of shards, those of a task apart from all others.
+        number = TaskContext.get().partitionId() << 33
         total = 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -247,45 +297,37 @@ def _shards(texts: DataFrame, shard_words: int) -> DataFrame:
                 total += len(words) + 1
                 if shard.size >= shard_words or total >= 2 * shard_words:
                     # Many languages share the memory of one task.
-                    largest = max(open_shards, key=lambda k: open_shards[k].size)
-                    shard = open_shards.pop(largest)
+                    shard = open_shards.pop(max(open_shards, key=lambda k: open_shards[k].size))
                     total -= shard.size
-                    yield batch_of([shard.closed()])
-        for shard in open_shards.values():
-            yield batch_of([shard.closed()])
+                    yield from _rows(_WORDS, number, shard.lang, *shard.closed())
+                    number += 1
+        while open_shards:
+            lang, shard = open_shards.popitem()
+            yield from _rows(_WORDS, number, lang, *shard.closed())
+            number += 1
 
-    return texts.mapInArrow(run, "lang string, text binary, words array<string>, at array<int>, n array<int>")
-
-
-_KINDS = pa.schema(
-    {
-        "shard": pa.int64(), "lang": pa.string(), "text": pa.binary(), "at": pa.list_(pa.int32()),
-        "n": pa.list_(pa.int32()), "head": pa.list_(pa.int64()), "tail": pa.list_(pa.int64()),
-    }
-)
-_EMPTY = _KINDS.empty_table()
+    return texts.mapInArrow(run, _WORDS_DDL)
 
 
 def _grown(length: int):
     """From shards with their phrases of ``length`` words to shards with those of one word more."""
 
     def covered(text: np.ndarray, index: BidirectionalIndex, phrases: Intervals) -> np.ndarray:
-        rows, _ = _ranges(phrases.forward, phrases.count)
         kept = np.zeros(len(text), bool)
-        places = index.forward.rows[rows]
-        for j in range(length):
-            kept[places + j] = True
+        for part in _slices(phrases.count):
+            rows, _ = _ranges(phrases.forward[part], phrases.count[part])
+            places = index.forward.rows[rows]
+            for j in range(length):
+                kept[places + j] = True
         return kept
 
     def run(key, states: pa.Table, frequent: pa.Table) -> pa.Table:
         if not len(frequent):
-            return _EMPTY
+            return _PHRASES.empty_table()
         text = _unpacked(states.column("text")[0].as_py())
-        at = np.array(states.column("at")[0].values, dtype=np.int64)
-        count = np.array(states.column("n")[0].values, dtype=np.int64)
-        number, ids = (np.array(frequent.column(c), dtype=np.int64) for c in ("number", "id"))
+        at, count, ids = (np.array(frequent.column(c), dtype=np.int64) for c in ("at", "n", "id"))
         index = BidirectionalIndex(text, length + 1)
-        phrases = index.find(at[number], count[number], length)
+        phrases = index.find(at, count, length)
         # In the order of their rows, so that a row is looked up by bisection.
         order = np.argsort(phrases.forward)
         phrases = Intervals(phrases.forward[order], phrases.backward[order], phrases.count[order])
@@ -301,21 +343,16 @@ def _grown(length: int):
         gap = ~kept & np.append(True, kept[:-1])
         moved = np.cumsum(kept | gap) - 1
         text = np.append(np.where(kept, text, 0)[kept | gap], 0)
-        row = [
-            states.column("shard")[0].as_py(), states.column("lang")[0].as_py(), _packed(text),
-            moved[index.places(longer)], longer.count, head, tail,
-        ]
-        return pa.table([pa.array([v], k.type) for v, k in zip(row, _KINDS)], schema=_KINDS)
+        lists = {"at": moved[index.places(longer)], "n": longer.count, "head": head, "tail": tail}
+        shard, lang = (states.column(c)[0].as_py() for c in ("shard", "lang"))
+        return pa.Table.from_batches(_rows(_PHRASES, shard, lang, text, lists), schema=_PHRASES)
 
     return run
 
 
 def _occurring(state: DataFrame, *lists: str) -> DataFrame:
-    """The phrases of each shard, one a row, with their number in it."""
-    zipped = F.arrays_zip("n", *lists)
-    return state.select("shard", "lang", F.posexplode(zipped).alias("number", "of")).select(
-        "shard", "lang", "number", "of.*"
-    )
+    """The phrases of each shard, one a row."""
+    return state.where("not is_text").select("shard", "lang", F.inline(F.arrays_zip("at", "n", *lists)))
 
 
 def _frequent(found: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -326,13 +363,13 @@ def _frequent(found: DataFrame, keys: list[str], least: int) -> DataFrame:
 
 
 def _in_shards(found: DataFrame, frequent: DataFrame, keys: list[str], hot: int) -> DataFrame:
-    """home (their shard), number and id of the occurrences of frequent phrases."""
+    """home (their shard), at, n and id of the frequent phrases of each shard."""
     h = F.xxhash64(*keys)
     bits = materialise(sieve(frequent.select(h.alias("h"))), "frequent")
-    passed = sifted(found, h, bits).where("maybe").select("shard", "number", *keys)
+    passed = sifted(found, h, bits).where("maybe").select("shard", "at", "n", *keys)
     large = hot_keys(frequent.select(*keys, F.col("shards").alias("n")), keys, hot)
     return join_unique(passed, frequent.select(*keys, "id"), keys, large, ["shard"]).select(
-        F.col("shard").alias("home"), "number", "id"
+        F.col("shard").alias("home"), "at", "n", "id"
     )
 
 
@@ -355,13 +392,14 @@ def phrases(
     """
     lang = F.coalesce(column(lang_column).cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, column(text_column).alias("text"))
-    cut = _shards(spread(texts), shard_words).withColumn("shard", F.monotonically_increasing_id())
-    state, shards = materialise_counted(cut, "shards")
+    state = materialise(_shards(spread(texts), shard_words), "shards")
+    shards = state.where("is_text").count()
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, shards // 2, 1)
 
     found = _occurring(state, "words").withColumnRenamed("words", "word")
     totals = materialise(
-        state.select("lang", F.aggregate("n", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
+        state.where("not is_text")
+        .select("lang", F.aggregate("n", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
         .groupBy("lang").agg(F.sum("n").alias("n")),
         "words",
     )
@@ -376,8 +414,9 @@ def phrases(
     keys = ["lang", "word"]
     for length in range(1, longest):
         here = _in_shards(found, frequent, keys, hot)
-        bodies = state.select("shard", "lang", "text", "at", "n").repartition(tasks, "shard").groupBy("shard")
-        grown = bodies.cogroup(here.repartition(tasks, "home").groupBy("home")).applyInArrow(_grown(length), _STATE)
+        bodies = state.where("is_text").select("shard", "lang", "text").repartition(tasks, "shard").groupBy("shard")
+        grown = bodies.cogroup(here.repartition(tasks, "home").groupBy("home"))
+        grown = grown.applyInArrow(_grown(length), _PHRASES_DDL)
         state = materialise(grown, "shards")
         found, keys = _occurring(state, "head", "tail"), ["head", "tail"]
         frequent = _frequent(found, keys, least)
