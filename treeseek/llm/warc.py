@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from treeseek.llm.rows import HOT_ROWS, sieve, sifted
 from treeseek.operators.skew import hot_keys, join_unique
-from treeseek.session import materialise, spread
+from treeseek.session import materialise, materialise_counted, spread
 
 REVISIT_BYTES = 1000
 SEGMENT_BYTES = 8 << 20
@@ -296,7 +296,9 @@ def read(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, payload
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     starts = F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))).alias("start")
-    ranges = files.where("length > 0").select("path", "length", starts).repartition("path", "start")
+    ranges, n = materialise_counted(files.where("length > 0").select("path", "length", starts), "ranges")
+    # A number that is asked for is kept; few rows would be put into one task else.
+    ranges = ranges.repartition(max(1, n), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
