@@ -33,6 +33,8 @@ from treeseek.session import materialise, materialise_counted
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
+# Thresholds of so many sources, some 100 bytes each, are broadcast; texts stay where they are then.
+FEW_SOURCES = 100_000
 _DIGITS = 3  # hexadecimal digits per level: 4,096 buckets
 
 
@@ -42,6 +44,7 @@ class Mix:
 
     rows: DataFrame
     sources: DataFrame
+    n_sources: int
     _documents: DataFrame
     _key: Column
     _source: Column
@@ -51,7 +54,11 @@ class Mix:
         """The documents, each as often as the mix takes it."""
         chosen = self.sources.select("source_key", "base", "cut")
         keyed = self._documents.select("doc", "row", self._source.alias("source_key"), self._key.alias("key"))
-        timed = join_unique(keyed, chosen, ["source_key"], self._hot, ["row"]).withColumn("times", _times())
+        if self.n_sources <= FEW_SOURCES:
+            timed = keyed.join(F.broadcast(chosen), "source_key")
+        else:
+            timed = join_unique(keyed, chosen, ["source_key"], self._hot, ["row"])
+        timed = timed.withColumn("times", _times())
         return timed.where("times > 0").select(
             "doc", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy")
         ).select("doc.*")
@@ -187,11 +194,11 @@ def mix(
     )
     budgets = shared.select("source_key", (F.col("target") - F.col("base") * F.col("source_size")).alias("budget"))
     cuts = thresholds(slim.select("source_key", "key", "size"), budgets)
-    sources = materialise(shared.join(cuts, "source_key"), "thresholds")
+    sources, n_sources = materialise_counted(shared.join(cuts, "source_key"), "thresholds")
     large = hot_keys(sources.select("source_key", "n"), ["source_key"], hot)
     rows = (
         join_unique(slim.drop("source"), sources.drop("n", "weight", "source"), ["source_key"], large, ["row"])
         .withColumn("times", _times())
         .select("row", "id", "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
     )
-    return Mix(rows, sources, placed, key, source_key, large)
+    return Mix(rows, sources, n_sources, placed, key, source_key, large)
