@@ -4,13 +4,13 @@ A document fails on its own if it has too few words or repeats itself. Lines are
 then compared across documents: each line, lower-cased, white space reduced and
 digits unified, is hashed, and the documents of a host that have it are counted
 — copies of a whole document once, so that a document is not boilerplate merely
-because it was copied. Lines above the limit are removed; where they were most
-of a document, the document is rejected, unless what is left is still a text of
-some length. ``accepted`` returns the texts without those lines.
+because it was copied. Lines above the limit are removed; a document that is left with too few
+words by it is rejected. ``accepted`` returns the texts without those lines.
 
 Copies that differ in a line or so share all their other lines, which are then
 frequent, and would all go. So of the documents that had most of their words in
-the same frequent lines, two at least, the first one is spared: it is kept whole.
+the same frequent lines, or are depleted by them, two lines at least, the first
+one is spared: it is kept whole.
 
 Only hashes and counts are shuffled: a document sends each of its lines once,
 summed per task, and what comes back are the frequent lines. They are joined as
@@ -43,8 +43,7 @@ MAX_REPEATED_PERCENT = 30
 WINDOW_WORDS = 8
 # A line in more different documents of a host than this is removed.
 LINE_DOCUMENTS = 20
-# A document is depleted if frequent lines were more than this share of its words and fewer than
-# MIN_WORDS words are left.
+# Documents that had more than this share of their words in the same frequent lines count as copies.
 DEPLETED_SHARE = 0.5
 
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
@@ -190,7 +189,7 @@ def _judged(
         F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated_percent
     )
     mostly = F.col("removed_words") > F.col("n_words") * limits.depleted_share
-    depleted = mostly & (F.col("n_words") - F.col("removed_words") < limits.min_words)
+    depleted = (F.col("removed_words") > 0) & (F.col("n_words") - F.col("removed_words") < limits.min_words)
     found = (
         examined.drop("lines", "content")
         .join(removed, "row", "left")
@@ -200,7 +199,7 @@ def _judged(
     found = materialise(found, "removed-lines")
     # The hash of a line's key has the host in it, and so has what they are combined to.
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
-    copies = found.where(~F.col("base_failed") & mostly & (F.size("gone") > 1))
+    copies = found.where(~F.col("base_failed") & (mostly | depleted) & (F.size("gone") > 1))
     spared = copies.groupBy("same").agg(F.min(order).alias("first")).select("first.row", F.lit(True).alias("spared"))
     return (
         found.join(spared, "row", "left")
