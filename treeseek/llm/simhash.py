@@ -19,9 +19,13 @@ to the shared folder.
 ``one_of_similar`` is for a pipeline: it links by Jaccard similarity of shingle
 sets. Several independent fingerprints (bands of minima) find the candidates;
 each link is checked on the sets themselves, read again for candidates only. In
-each bucket of a band, members are compared with a few of them, leaders; those
-linked need no more comparing with each other, and the others meet twice as many
-leaders in the next round, until all of a bucket are linked or have met.
+a bucket, members are compared with one of them, its leader, the same one in all
+buckets that it can lead; labels of linked ones are contracted, and a bucket of
+one label is done. What is still open after ``LEADERS`` such turns is compared
+pair by pair in buckets of at most ``FEW`` members. Larger ones hold texts that
+share a band but are not similar: their members are divided by further bands,
+and again, ``DEPTH`` times; the rest takes turns until no bucket is open. A turn
+makes as many pairs as there are members, whatever the size of a group.
 
 Defined results: null and empty texts, and texts without words, have
 fingerprint zero and are linked like any other; a row with a null id belongs to
@@ -41,8 +45,8 @@ from pyspark.sql import functions as F
 
 from treeseek.llm.components import components
 from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted, without
-from treeseek.operators.skew import first_n, hot_keys, join_unique
-from treeseek.session import materialise, spread
+from treeseek.operators.skew import hot_keys, join_unique
+from treeseek.session import materialise, materialise_counted, spread
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -54,6 +58,11 @@ SIMILARITY = 0.8
 # At similarity 0.8, a pair shares none of the bands with probability (1 - 0.8 ** 5) ** 32, 3 in a million.
 BANDS = 32
 BAND_ROWS = 5
+# Turns in which a bucket's members meet a leader only; then buckets of at most so many members compare all pairs,
+LEADERS = 2
+FEW = 16
+# and larger ones are divided by further bands, so many times.
+DEPTH = 4
 
 _ALL = (1 << 64) - 1
 # Bit k of the syndrome is the parity of the positions 1 to 63 that have bit k.
@@ -243,7 +252,8 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, hot: int) -> DataFrame:
-    """Of pairs (a, b) of nodes, those whose shingle sets have the similarity."""
+    """Of pairs (a, b) of nodes, with what else they carry, those whose shingle sets have the similarity."""
+    rest = pairs.columns
     for end in ("a", "b"):
         large = hot_keys(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n")), [end], hot)
         right = sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}"))
@@ -251,12 +261,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, hot: int) ->
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
     # Two texts without words are alike.
-    return pairs.where((union == 0) | (common / F.greatest(union, F.lit(1)) >= similarity)).select("a", "b")
+    return pairs.where((union == 0) | (common / F.greatest(union, F.lit(1)) >= similarity)).select(*rest)
+
+
+def _unlike(members: DataFrame, x: str, y: str, similarity: float) -> DataFrame:
+    """Pairs (a, b) with their labels, of structs ``x`` and ``y`` that are not linked yet and may be similar."""
+    near = F.least(f"{x}.size", f"{y}.size") >= F.greatest(f"{x}.size", f"{y}.size") * (similarity - 1e-9)
+    first, second = F.least(x, y), F.greatest(x, y)
+    return members.where((F.col(f"{x}.label") != F.col(f"{y}.label")) & near).select(
+        first["node"].alias("a"), second["node"].alias("b"),
+        first["label"].alias("label_a"), second["label"].alias("label_b"),
+    )
+
+
+def _all_of(bucket: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of buckets of few members."""
+    each = F.expr("flatten(transform(all, (x, i) -> transform(slice(all, i + 2, size(all)), y -> struct(x, y))))")
+    grouped = bucket.groupBy("bucket").agg(F.collect_list("member").alias("all")).where(F.size("all") > 1)
+    return _unlike(grouped.select(F.inline(each)), "x", "y", similarity)
+
+
+def _renamed(live: DataFrame, moved: DataFrame, hot: int) -> DataFrame:
+    """``live`` with the labels of before replaced by their roots."""
+    counts = live.groupBy("member.label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
+    split = live.select("bucket", "member.*")
+    large = hot_keys(counts, ["label"], hot)
+    named = join_unique(split, moved.withColumnRenamed("node", "label"), ["label"], large, ["bucket", "node"], "left")
+    member = F.struct("node", F.coalesce("root", "label").alias("label"), "size")
+    return named.select("bucket", member.alias("member"))
 
 
 def similar_groups(
     placed: DataFrame, id_column: str, text_column: str, words: int, similarity: float, n_bands: int = BANDS,
-    hot: int = HOT_ROWS,
+    hot: int = HOT_ROWS, few: int = FEW,
 ) -> DataFrame:
     """row, id and root of the rows of :func:`located` that have a similar one; root names their group."""
     texts = placed.select("row", field(id_column).alias("id"), field(text_column).alias("text"))
@@ -265,48 +302,85 @@ def similar_groups(
     spots = found.select("node", "size", F.explode("bands").alias("bucket"))
     often = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bits = materialise(sieve(often.select(F.xxhash64("bucket").alias("h"))), "shared-bands")
-    passed = sifted(spots, F.xxhash64("bucket"), bits).where("maybe").drop("maybe")
-    live = materialise(passed.withColumn("label", F.col("node")), "band-members")
+    passed = sifted(spots, F.xxhash64("bucket"), bits).where("maybe")
+    member = F.struct("node", F.col("node").alias("label"), "size").alias("member")
+    live = materialise(passed.select("bucket", member), "band-members")
 
-    wanted = materialise(found.join(live.select("node").distinct(), "node", "left_semi").select("row", "node"), "alike")
+    wanted = live.select("member.node").distinct()
+    wanted = materialise(found.join(wanted, "node", "left_semi").select("row", "node"), "alike")
     marked = sifted(texts, F.xxhash64("row"), sieve(wanted.select(F.xxhash64("row").alias("h"))))
     read_again = marked.where("maybe").join(wanted, "row").select("node", "text")
     sets = materialise(_sets(read_again, words), "shingle-sets")
 
-    edges, roots, leaders_each = None, None, 1
+    steps: list[DataFrame] = []
+    turn = depth = 0
     while True:
-        # Buckets whose members are linked already, or that have one left, are done.
-        counts = live.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+        # One leader for all buckets that a node leads, so that it is met once and not once a bucket.
+        drawn = F.struct(F.xxhash64(F.lit(turn), "member.node"), "member.node")
+        open_ = (
+            live.groupBy("bucket")
+            .agg(
+                F.count(F.lit(1)).alias("n"), F.min("member.label").alias("low"), F.max("member.label").alias("high"),
+                F.min_by("member", drawn).alias("leader"),
+            )
+            .where("n > 1 and low <> high").select("bucket", "n", "leader")
         )
-        counts = materialise(counts.where("n > 1 and low <> high").select("bucket", "n"), "open-buckets")
-        if counts.isEmpty():
+        open_, buckets = materialise_counted(open_, "open-buckets")
+        if not buckets:
             break
-        large = hot_keys(counts, ["bucket"], hot)
-        live = materialise(join_unique(live, counts.drop("n"), ["bucket"], large, ["node"]), "band-members")
-        drawn = [F.xxhash64(F.lit(leaders_each), "bucket", "node"), F.col("node")]
-        led = first_n(live, ["bucket"], drawn, leaders_each, ["node"]).groupBy("bucket").agg(
-            F.collect_list(F.struct("node", "label", "size")).alias("leaders")
-        )
-        led = materialise(led, "leaders")
-        met = join_unique(live, led, ["bucket"], large, ["node"])
-        each = met.select("node", "label", "size", F.explode("leaders").alias("to"))
-        near = F.least("size", "to.size") >= F.greatest("size", "to.size") * (similarity - 1e-9)
-        pairs = each.where((F.col("label") != F.col("to.label")) & near).select(
-            F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")
-        )
+        large = hot_keys(open_.select("bucket", "n"), ["bucket"], hot)
+        met = materialise(join_unique(live, open_, ["bucket"], large, ["member"]), "met")
+        settled = turn >= LEADERS
+        led = met.where(F.col("n") > few) if settled else met
+        pairs = _unlike(led, "member", "leader", similarity)
+        if settled:
+            pairs = pairs.unionByName(_all_of(met.where(F.col("n") <= few), similarity))
         pairs = materialise(pairs.distinct(), "pairs")
         links = materialise(_verified(pairs, sets, similarity, hot), "links")
-        edges = links if edges is None else edges.unionByName(links)
-        roots = materialise(components(edges, hot), "roots")
+        moved = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), hot)
+        moved = materialise(moved, "roots")
+        steps.append(moved)
         # A leader has met all of its bucket.
-        live = met.where(~F.exists("leaders", lambda x: x["node"] == F.col("node"))).drop("leaders", "label")
-        live = live.join(roots.withColumnRenamed("root", "label"), "node", "left")
-        live = materialise(live.withColumn("label", F.coalesce("label", "node")), "band-members")
-        leaders_each *= 2
-    if roots is None:
+        live = led.where(F.col("member.node") != F.col("leader.node")).select("bucket", "member")
+        live = materialise(_renamed(live, moved, hot), "band-members")
+        turn += 1
+        if settled and depth < DEPTH:
+            live = materialise(_divided(live, found, n_bands, depth), "band-members")
+            depth += 1
+    root = _roots(steps, hot)
+    if root is None:
         return found.select("row", "id", F.col("node").alias("root")).limit(0)
-    return found.select("row", "id", "node").join(roots, "node").select("row", "id", "root")
+    return found.select("row", "id", "node").join(root, "node").select("row", "id", "root")
+
+
+def _divided(live: DataFrame, found: DataFrame, n_bands: int, depth: int) -> DataFrame:
+    """Members of a crowded bucket by one of several further bands as well.
+
+    Two texts at similarity 0.8 share one of ``n_bands`` / ``DEPTH`` bands with
+    probability 0.95 for every bucket they share.
+    """
+    share = n_bands // DEPTH
+    further = found.select("node", F.slice("bands", depth * share + 1, share).alias("bands"))
+    # A bucket of one label is done.
+    undone = live.groupBy("bucket").agg(F.min("member.label").alias("low"), F.max("member.label").alias("high"))
+    undone = undone.where("low <> high").select("bucket")
+    each = live.join(undone, "bucket").withColumn("node", F.col("member.node")).join(further, "node")
+    keyed = each.select("member", "bucket", F.posexplode("bands").alias("k", "band"))
+    return keyed.select(F.xxhash64("bucket", "k", "band").alias("bucket"), "member")
+
+
+def _roots(steps: list[DataFrame], hot: int) -> DataFrame | None:
+    """node and root after all steps, each of which names labels of the one before anew."""
+    if not steps:
+        return None
+    known = steps[-1]
+    for step in reversed(steps[:-1]):
+        counts = materialise(step.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root-sizes")
+        last = known.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        named = join_unique(step, last, ["root"], hot_keys(counts, ["root"], hot), ["node"], "left")
+        named = named.select("node", F.coalesce("last", "root").alias("root"))
+        known = materialise(named.unionByName(known.join(step, "node", "left_anti")), "roots")
+    return known
 
 
 def one_of_similar(
