@@ -30,6 +30,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -43,6 +44,9 @@ SPAN = 3
 LONGEST = 8
 MIN_WORDS = 10
 
+# Spans that a task holds before it passes them on; one text may have more.
+_SPANS_AT_ONCE = 100_000
+
 _END = re.compile(r"[.!?]+[ \t\n\x0b\x0c\r]+|\n+")
 _WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
@@ -97,18 +101,14 @@ def sentences(text: str, longest: int = LONGEST) -> list[tuple[int, int, list[by
     return out
 
 
-def span_hashes(parts: list[tuple[int, int, list[bytes]]], span: int, least: int) -> list[tuple[int, int] | None]:
-    """The hash of the span that starts at each sentence; None if too few words follow."""
+def span_hashes(
+    parts: list[tuple[int, int, list[bytes]]], span: int, least: int
+) -> tuple[list[int], list[bytes]]:
+    """The sentences at which a span starts, and its hash of 16 bytes; none where too few words follow."""
     texts = [b" ".join(words) for _, _, words in parts]
-    counts = [len(words) for _, _, words in parts]
-    out: list[tuple[int, int] | None] = []
-    for i, end in enumerate(span_ends(counts, span, least)):
-        if end is None:
-            out.append(None)
-            continue
-        value = xxhash.xxh3_128_intdigest(b" ".join(texts[i:end]))
-        out.append(((value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)))
-    return out
+    ends = span_ends([len(words) for _, _, words in parts], span, least)
+    starts = [i for i, end in enumerate(ends) if end is not None]
+    return starts, [xxhash.xxh3_128_digest(b" ".join(texts[i : ends[i]])) for i in starts]
 
 
 def span_ends(counts: list[int], span: int, least: int) -> list[int | None]:
@@ -138,15 +138,27 @@ def _repeated(
     texts = placed.select("row", field(id_column).cast("bigint").alias("id"), field(text_column).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("h", pa.int64()), ("g", pa.int64())]))
+        kind = pa.struct([("at", pa.int32()), ("h", pa.int64()), ("g", pa.int64())])
+
+        def packed(part: pa.RecordBatch, sizes: list[int], at: list[int], hashes: list[bytes]) -> pa.RecordBatch:
+            halves = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+            columns = [pa.array(at, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
+            offsets = pa.array(np.cumsum([0, *sizes]), pa.int32())
+            spans = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=list(kind)))
+            return pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), spans], names=["row", "id", "spans"])
+
         for batch in batches:
-            spans = []
+            first, sizes, at, hashes = 0, [], [], []
             for text in batch.column("text"):
-                found = span_hashes(sentences(text.as_py() or ""), span, least)
-                spans.append([{"at": i, "h": s[0], "g": s[1]} for i, s in enumerate(found) if s])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(spans, kind)], names=["row", "id", "spans"]
-            )
+                starts, found = span_hashes(sentences(text.as_py() or ""), span, least)
+                sizes.append(len(starts))
+                at += starts
+                hashes += found
+                if len(at) >= _SPANS_AT_ONCE:
+                    yield packed(batch.slice(first, len(sizes)), sizes, at, hashes)
+                    first, sizes, at, hashes = first + len(sizes), [], [], []
+            if sizes:
+                yield packed(batch.slice(first, len(sizes)), sizes, at, hashes)
 
     schema = "row struct<file string, position bigint>, id bigint, spans array<struct<at int, h bigint, g bigint>>"
     found = spread(texts).mapInArrow(hashed, schema).withColumn("number", F.monotonically_increasing_id())
