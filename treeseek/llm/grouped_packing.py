@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from treeseek.llm.packing import word_tokens
+from treeseek.llm.packing import WordTokens
 from treeseek.llm.rows import column
 from treeseek.session import materialise, spread
 
@@ -159,7 +159,7 @@ def _pieces(texts: DataFrame, tokenizer: str, window: int, end: int) -> DataFram
     tail = struct.pack("<I", end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_tokens(tokenizer)
+        encoder = WordTokens(tokenizer)
         seen = [0] * (window + 1)
         task = TaskContext.get().partitionId()
         for batch in batches:

@@ -36,6 +36,8 @@ END_TOKEN = 2
 GROUP_TOKENS = 2_000_000
 # Words whose tokens a task keeps; the memory is bounded by it, results are the same.
 CACHED_WORDS = 300_000
+# And those that its worker keeps for later tasks.
+KEPT_WORDS = 100_000
 
 _PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -53,6 +55,14 @@ class _Known(dict):
         return self.fresh[word]
 
 
+@lru_cache(maxsize=2)
+def _kept(path: str):
+    """The tokenizer and the first words of a Python worker, for all of its tasks."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path), {}
+
+
 class WordTokens:
     """Token ids of texts as little-endian 32-bit numbers.
 
@@ -68,11 +78,9 @@ class WordTokens:
     _AT_ONCE = 200
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer, self._shared = _kept(path)
         self._cached = cached
-        self._known = _Known()
+        self._known = _Known(islice(self._shared.items(), cached))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
@@ -80,6 +88,7 @@ class WordTokens:
         fresh = self._tokens(set().union(*split).difference(self._known))
         room = self._cached - len(self._known)
         self._known.update(islice(fresh.items(), max(0, room)))
+        self._shared.update(islice(fresh.items(), max(0, KEPT_WORDS - len(self._shared))))
         self._known.fresh = fresh
         known = self._known
         out = [b"".join([known[w] for w in words]) for words in split]
@@ -117,18 +126,12 @@ class WordTokens:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
-@lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
-    """One for all tasks of a Python worker, so that later tasks find the words known."""
-    return WordTokens(path)
-
-
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END_TOKEN, ids: bool = False) -> DataFrame:
     """(id, text) cut into full windows and a rest: id, start, length, ids_crc32, doc_tokens and, if asked, ids."""
     tail = struct.pack("<I", end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_tokens(tokenizer)
+        encoder = WordTokens(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for key, body in zip(batch.column("id"), encoder.encode_batch(batch.column("text").to_pylist())):
