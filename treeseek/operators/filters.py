@@ -136,7 +136,8 @@ def prefix(df: DataFrame, name: str, start: str, cap: int | None = None) -> Colu
 
 def geo_distance(df: DataFrame, name: str, origin: object, distance: str | float) -> Column:
     field_type(df, name)
-    return geo.within(F.col(f"{name}.lat"), F.col(f"{name}.lon"), origin, distance)
+    cell = F.col(f"{name}.cell") if "cell" in field_type(df, name).fieldNames() else None
+    return geo.within(F.col(f"{name}.lat"), F.col(f"{name}.lon"), origin, distance, cell)
 
 
 def filter_map(df: DataFrame, wanted: Mapping[str, object]) -> list[Column]:
