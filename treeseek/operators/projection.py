@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from treeseek.functions.ids import address_id
 from treeseek.functions.paths import ancestors, type_namespace
 from treeseek.model import KEYS, LIVE, NodeTypes
 from treeseek.operators.mapping import mapped_type, schema_of, to_column
+from treeseek.operators.skew import hot_keys, join_unique
+from treeseek.session import materialise
 
 IdGenerator = Callable[[Column, Column, Column], Column]
+REFERENCES = ("reference", "references")
 
 
 def indexable(type_name: Column, settings: Mapping[str, bool] | None) -> Column:
@@ -85,8 +89,8 @@ def property_columns(
         if name in drop:
             continue
         stored = F.col("properties").getItem(name)
-        # Types by what they do with the property: nothing, an expression of theirs, or no index at all.
-        by_use: dict[Callable | None, list[str]] = {}
+        # Types by what they do with the property: no index at all, an expression of theirs, or references.
+        by_use: dict[Callable | tuple[str, ...] | None, list[str]] = {}
         for node_type in types:
             prop = types.properties(node_type.name).get(name)
             if prop is None:
@@ -95,9 +99,16 @@ def property_columns(
                 by_use.setdefault(None, []).append(node_type.name)
             elif callable(prop.indexing):
                 by_use.setdefault(prop.indexing, []).append(node_type.name)
+            elif prop.type in REFERENCES and mapping in ("keyword", "keywords"):
+                by_use.setdefault(REFERENCES, []).append(node_type.name)
         value = to_column(stored, mapping)
         for use, names in by_use.items():
-            own = F.lit(None) if use is None else to_column(use(stored, F.col), mapping)
+            if use is None:
+                own = F.lit(None)
+            elif use is REFERENCES:
+                own = reference_column(stored, mapping)
+            else:
+                own = to_column(use(stored, F.col), mapping)
             value = F.when(F.col("type").isin(names), own).otherwise(value)
         columns.append(value.alias(name))
     return columns
@@ -108,6 +119,46 @@ def reference_ids(nodes: Column) -> Column:
     return F.transform(nodes, lambda n: n["node_id"])
 
 
+def reference_column(stored: Column, mapping: str) -> Column:
+    """Ids of the nodes that a property refers to: all of them, or the first for ``keyword``.
+
+    Stored is one reference or a JSON list of them, and a reference is a node
+    (``{"node_id": …}``) or its id. Entries without an id are left out, and a
+    text that is neither is null.
+    """
+    text = F.trim(stored)
+    entries = F.when(text.startswith("["), F.from_json(text, "array<string>")).when(text != "", F.array(text))
+
+    def node(entry: Column) -> Column:
+        plain = F.struct(F.nullif(F.trim(entry), F.lit("")).alias("node_id"))
+        return F.when(F.trim(entry).startswith("{"), F.from_json(entry, "node_id string")).otherwise(plain)
+
+    ids = F.array_compact(reference_ids(F.transform(entries, node)))
+    return ids if mapping == "keywords" else F.get(ids, F.lit(0))
+
+
+def dangling_references(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """References to nodes that are not there: (workspace, dimension, node_id, field, reference).
+
+    Different references are counted first, so the look-up meets each once. If
+    one that dangles is named by very many nodes, these are dealt out.
+    """
+
+    def listed(name: str) -> Column:
+        value = F.col(name)
+        ids = value if isinstance(docs.schema[name].dataType, T.ArrayType) else F.array(value)
+        ids = F.coalesce(F.array_compact(ids), F.array().cast("array<string>"))
+        return F.transform(ids, lambda i: F.struct(F.lit(name).alias("field"), i.alias("reference")))
+
+    refs = docs.select(*KEYS, F.inline(F.concat(*[listed(name) for name in fields])))
+    keys = ["workspace", "dimension", "reference"]
+    there = docs.select("workspace", "dimension", F.col("node_id").alias("reference")).distinct()
+    counts = refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    missing = materialise(counts.join(there, keys, "left_anti"), "dangling")
+    found = join_unique(refs, missing.drop("n"), keys, hot_keys(missing, keys), spread=["node_id"])
+    return found.select(*KEYS, "field", "reference")
+
+
 def project(
     nodes: DataFrame,
     resolved: DataFrame,

@@ -330,6 +330,73 @@ def project_customers(spark, sf_dir):
     )
 
 
+ORDER_TYPES = NodeTypes(
+    [
+        NodeType("Order", properties={
+            "customer": Property("reference"),
+            "parts": Property("references"),
+            "main": Property("references", max_items=1),
+        }),
+        # Another type stores plain text under the same name.
+        NodeType("Note", properties={"customer": Property("string")}),
+    ]
+)
+
+
+@query(
+    "reference_fields",
+    """WITH lines AS (SELECT l_orderkey, string_agg('p' || l_partkey, ',' ORDER BY l_partkey) AS parts,
+      'p' || min(l_partkey) AS main FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) GROUP BY ALL)
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '{"node_id":"c' || o_custkey || '"}' ELSE 'c' || o_custkey END AS customer,
+      CASE WHEN o_orderkey % 5 > 0 THEN parts END AS parts, CASE WHEN o_orderkey % 5 > 0 THEN main END AS main FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey""",
+)
+def reference_fields(spark, sf_dir):
+    """One reference and many, stored as ids and as nodes, become ids while projecting."""
+
+    def node(node_id):
+        return F.struct(node_id.alias("node_id"), F.lit("Node").alias("type"))
+
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.transform(F.array_sort(F.collect_set("l_partkey")), lambda k: F.concat(F.lit("p"), k.cast("string"))).alias("ids")
+    )
+    customer = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    as_nodes = F.col("o_orderkey") % 2 == 0
+    note = F.col("o_orderkey") % 5 == 0
+    parts = F.when(~note & as_nodes, F.to_json(F.transform("ids", node))).when(~note, F.to_json("ids"))
+    nodes = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select(
+        "o_orderkey",
+        F.when(note, "Note").otherwise("Order").alias("type"),
+        F.create_map(
+            F.lit("customer"),
+            F.when(note | (F.col("o_orderkey") % 3 == 0), F.to_json(F.struct(customer.alias("node_id")))).otherwise(customer),
+            F.lit("parts"), parts,
+            F.lit("main"), F.when(as_nodes, parts).when(~note, F.get("ids", F.lit(0))),
+        ).alias("properties"),
+    )
+    docs = nodes.select("o_orderkey", *projection.property_columns(ORDER_TYPES))
+    return docs.select("o_orderkey", "customer", F.array_join("parts", ",").alias("parts"), "main")
+
+
+@query(
+    "dangling_references",
+    """SELECT 'o' || o_orderkey AS node_id, 'customer' AS field, 'c' || o_custkey AS reference FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+)
+def dangling_references(spark, sf_dir):
+    """Orders of customers that are not indexed, since they are in debt."""
+    place = [F.lit(LIVE).alias("workspace"), F.lit(NO_DIMENSION).alias("dimension")]
+    customers = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
+        *place, F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node_id"),
+        F.lit(None).cast("string").alias("customer"),
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        *place, F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node_id"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("customer"),
+    )
+    found = projection.dangling_references(orders.union(customers), ["customer"])
+    return found.select("node_id", "field", "reference")
+
+
 def _part_properties(spark, sf_dir):
     """Properties as the parts name them: noun is the field, adjective the mapping."""
     words = F.split("p_name", " ")
