@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,6 @@ INTERVALS = {
     "week": "week", "1w": "week", "day": "day", "1d": "day", "hour": "hour", "1h": "hour",
     "minute": "minute", "1m": "minute",
 }
-# WindowGroupLimit thins a ranked window before its shuffle up to this many rows.
-_THINNED_BY_SPARK = 1000
 _BROADCAST_BUCKETS = 100_000
 
 
@@ -84,30 +82,106 @@ class Aggregations:
         top = [a for a in self.items if len(a.path) == 1 and a.type in METRIC_TYPES]
         return docs.agg(*[c for a in top for c in metric_columns(docs, a)]) if top else None
 
-    def compute(self, docs: DataFrame) -> dict[str, DataFrame]:
+    @property
+    def countable(self) -> bool:
+        """Can all be counted in one pass: sketches would be kept for every bucket of every aggregation."""
+        return not any(a.type in ("cardinality", "percentiles") for a in self.items)
+
+    def counted(self, docs: DataFrame) -> DataFrame:
+        """All buckets of all aggregations in one pass over ``docs``, before any limit.
+
+        These are grouping sets: each row turns into one small row per bucket it
+        falls into, with the number of the aggregation in ``_set`` (-1: metrics
+        at the top) and its keys in ``_key…``; rows are counted before the one
+        shuffle. Fields with several values fan out for their own aggregation only.
+        """
+        targets = [a for a in self.items if a.type in BUCKET_TYPES]
+        kinds = [docs.select(bucket_key(a, _element(docs, a))).schema[0].dataType for a in targets]
+        at = {a.path: i for i, a in enumerate(targets)}
+
+        def rows_of(number: int, levels: list[Aggregation], keys: dict[int, Column]) -> Column:
+            if not levels:
+                made = [keys.get(i, F.lit(None)).cast(kind).alias(f"_key{i}") for i, kind in enumerate(kinds)]
+                return F.array(F.struct(F.lit(number).alias("_set"), *made))
+            level, rest = levels[0], levels[1:]
+            source = F.col(level.field)
+
+            def below(value: Column) -> Column:
+                return rows_of(number, rest, {**keys, at[level.path]: bucket_key(level, value)})
+
+            if isinstance(field_type(docs, level.field), T.ArrayType):
+                values = F.filter(F.array_distinct(source), lambda v: v.isNotNull())
+                return F.flatten(F.array_compact(F.transform(values, below)))
+            return F.when(source.isNotNull(), below(source))
+
+        sets = [rows_of(i, [self.find(a.path[: d + 1]) for d in range(len(a.path))], {}) for i, a in enumerate(targets)]
+        metrics = [a for a in self.items if a.type in METRIC_TYPES]
+        if any(len(a.path) == 1 for a in metrics):
+            sets.append(rows_of(-1, [], {}))
+        read = sorted({a.field.split(".")[0] for a in metrics})
+        rows = docs.select(*read, F.inline(F.flatten(F.array_compact(F.array(*sets)))))
+        columns = [c for a in metrics for c in metric_columns(docs, replace(a, path=(self._alias(a),)))]
+        return rows.groupBy("_set", *[f"_key{i}" for i in range(len(targets))]).agg(
+            F.count(F.lit(1)).alias("_count"), *columns
+        )
+
+    def _alias(self, metric: Aggregation) -> str:
+        return f"_metric{self.items.index(metric)}"
+
+    def _renamed(self, metrics: Sequence[Aggregation], empty: bool = False) -> list[Column]:
+        """Metric columns of :meth:`counted` under their names; ``empty`` gives zero where nothing was counted."""
+        columns = []
+        for a in metrics:
+            for name in _metric_names(a):
+                value = F.col(self._alias(a) + name.removeprefix(a.name))
+                if empty:
+                    zero = a.type in ("sum", "value_count") or (a.type == "stats" and name.endswith(("_count", "_sum")))
+                    value = F.coalesce(F.max(value), F.lit(0)) if zero else F.max(value)
+                columns.append(value.alias(name))
+        return columns
+
+    def compute(self, docs: DataFrame, counted: DataFrame | None = None) -> dict[str, DataFrame]:
         """One DataFrame per bucket aggregation, with the metrics below it, and
-        one per metric at the top. Keys are dotted paths."""
+        one per metric at the top. Keys are dotted paths. With ``counted``, what
+        :meth:`counted` gave, ``docs`` is not read again."""
         results: dict[str, DataFrame] = {}
-        row = self.metrics(docs)
+        top = [a for a in self.items if len(a.path) == 1 and a.type in METRIC_TYPES]
+        if counted is None or not top:
+            row = self.metrics(docs)
+        else:
+            row = counted.where(F.col("_set") == -1).agg(*self._renamed(top, empty=True))
         for a in self.items:
             if len(a.path) == 1 and a.type in METRIC_TYPES:
                 results[a.name] = row.select(*_metric_names(a))
         for a in self.items:
             if a.type in BUCKET_TYPES:
-                results[".".join(a.path)] = self._buckets(docs, a, results)
+                results[".".join(a.path)] = self._buckets(docs, a, results, counted)
             elif len(a.path) > 1:
                 keys = list(a.path[:-1])
                 results[".".join(a.path)] = results[".".join(keys)].select(*keys, *_metric_names(a))
         return results
 
-    def _buckets(self, docs: DataFrame, target: Aggregation, done: Mapping[str, DataFrame]) -> DataFrame:
+    def _grouped(self, docs: DataFrame, target: Aggregation, counted: DataFrame | None) -> DataFrame:
+        """The buckets of one aggregation, all of them: its keys, ``doc_count`` and the metrics below it."""
         levels = [self.find(target.path[: i + 1]) for i in range(len(target.path))]
-        keys = [a.name for a in levels]
+        below = [a for a in self.children(target.path) if a.type in METRIC_TYPES]
+        if counted is not None:
+            at = [a.path for a in self.items if a.type in BUCKET_TYPES]
+            keys = [F.col(f"_key{at.index(a.path)}").alias(a.name) for a in levels]
+            own = counted.where(F.col("_set") == at.index(target.path))
+            return own.select(*keys, F.col("_count").alias("doc_count"), *self._renamed(below))
         keyed = docs
         for a in levels:
             keyed = with_key(keyed, a)
-        metrics = [c for a in self.children(target.path) if a.type in METRIC_TYPES for c in metric_columns(docs, a)]
-        grouped = keyed.groupBy(*keys).agg(F.count("*").alias("doc_count"), *metrics)
+        metrics = [c for a in below for c in metric_columns(docs, a)]
+        return keyed.groupBy(*[a.name for a in levels]).agg(F.count("*").alias("doc_count"), *metrics)
+
+    def _buckets(
+        self, docs: DataFrame, target: Aggregation, done: Mapping[str, DataFrame], counted: DataFrame | None
+    ) -> DataFrame:
+        levels = [self.find(target.path[: i + 1]) for i in range(len(target.path))]
+        keys = [a.name for a in levels]
+        grouped = self._grouped(docs, target, counted)
         parents = keys[:-1]
         limited = [a for a in levels[:-1] if a.type == "terms"]
         if limited:
@@ -119,23 +193,31 @@ class Aggregations:
         return top_buckets(grouped, parents, target).select(*keys, "doc_count", *grouped.columns[len(keys) + 1 :])
 
 
-def with_key(docs: DataFrame, agg: Aggregation) -> DataFrame:
-    """``docs`` with the bucket key in a column of the aggregation's name."""
-    kind = field_type(docs, agg.field)
-    source = F.col(agg.field)
-    if isinstance(kind, T.ArrayType):
-        docs = docs.withColumn("_value", F.explode(F.array_distinct(source)))
-        source = F.col("_value")
+def bucket_key(agg: Aggregation, source: Column) -> Column:
+    """The bucket that a value falls into."""
     if agg.type == "histogram":
         step = float(agg.options["interval"])
-        key = F.floor(source / step) * step
-    elif agg.type == "date_histogram":
+        return F.floor(source / step) * step
+    if agg.type == "date_histogram":
         interval = agg.options.get("calendar_interval", agg.options.get("interval"))
         if interval not in INTERVALS:
             raise QueryError(f"unknown interval {interval!r}")
-        key = F.date_trunc(INTERVALS[interval], source)
-    else:
-        key = source
+        return F.date_trunc(INTERVALS[interval], source)
+    return source
+
+
+def _element(docs: DataFrame, agg: Aggregation) -> Column:
+    source = F.col(agg.field)
+    return F.get(source, F.lit(0)) if isinstance(field_type(docs, agg.field), T.ArrayType) else source
+
+
+def with_key(docs: DataFrame, agg: Aggregation) -> DataFrame:
+    """``docs`` with the bucket key in a column of the aggregation's name."""
+    source = F.col(agg.field)
+    if isinstance(field_type(docs, agg.field), T.ArrayType):
+        docs = docs.withColumn("_value", F.explode(F.array_distinct(source)))
+        source = F.col("_value")
+    key = bucket_key(agg, source)
     return docs.where(source.isNotNull()).withColumn(agg.name, key).drop("_value")
 
 
@@ -147,10 +229,7 @@ def top_buckets(grouped: DataFrame, parents: Sequence[str], agg: Aggregation) ->
     order = [F.desc("doc_count"), F.asc(agg.name)]
     if not parents:
         return grouped.orderBy(*order).limit(size)
-    if size > _THINNED_BY_SPARK:
-        return first_n(grouped, parents, order, size, spread=(agg.name,))
-    ranked = grouped.withColumn("_rank", F.row_number().over(Window.partitionBy(*parents).orderBy(*order)))
-    return ranked.where(F.col("_rank") <= size).drop("_rank")
+    return first_n(grouped, parents, order[:1], size, spread=(agg.name,))
 
 
 def _metric_names(agg: Aggregation) -> list[str]:
@@ -188,25 +267,6 @@ def metric_columns(docs: DataFrame, agg: Aggregation) -> list[Column]:
     return [simple[agg.type].alias(name)]
 
 
-def facets(docs: DataFrame, fields: Sequence[str], size: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Terms of several scalar fields in one pass: (facet, key, doc_count).
-
-    Each row turns into one small row per field and is counted before the shuffle.
-    """
-    pairs = F.array(
-        *[F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("key")) for f in fields]
-    )
-    counted = (
-        docs.select(F.inline(pairs)).where(F.col("key").isNotNull()).groupBy("facet", "key").agg(
-            F.count("*").alias("doc_count")
-        )
-    )
-    if size is None:
-        return counted
-    order = Window.partitionBy("facet").orderBy(F.desc("doc_count"), "key")
-    return counted.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
-
-
 def counts_by_index(docs: DataFrame) -> DataFrame:
     """Indexed nodes per workspace and dimension."""
     return docs.groupBy("workspace", "dimension").agg(F.count("*").alias("n_docs"))

@@ -419,13 +419,20 @@ class SearchResult:
         return rows[0] if rows else None
 
     def aggregations(self, share: bool = False) -> dict[str, DataFrame]:
-        """A DataFrame per aggregation; ``share`` matches once for all of them,
-        by writing the few columns they read."""
+        """A DataFrame per aggregation; ``share`` matches once for all of them.
+
+        Buckets are then counted in one pass and written; with sketches among
+        the aggregations, the few columns that they read are written instead.
+        """
         asked = self.search.aggregations_
         if not asked.items:
             return {}
         matching = self.search.matching()
-        return asked.compute(materialise(matching.select(*asked.fields), "matching") if share else matching)
+        if not share:
+            return asked.compute(matching)
+        if asked.countable:
+            return asked.compute(matching, materialise(asked.counted(matching), "buckets"))
+        return asked.compute(materialise(matching.select(*asked.fields), "matching"))
 
     def metrics(self) -> DataFrame | None:
         """The metrics without buckets, together in one row."""

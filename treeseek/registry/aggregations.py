@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeseek.operators.aggregate import counts_by_index, facets
+from treeseek.operators.aggregate import counts_by_index
 from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.data import documents, table
@@ -138,8 +141,17 @@ def custom_agg(spark, sf_dir):
     SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY facet ORDER BY doc_count DESC, key) <= 10""",
 )
 def multi_agg(spark, sf_dir):
-    """Several facets of one query in one pass."""
-    return facets(_parts(spark, sf_dir).less_than("p_size", 40).matching(), ["p_brand", "p_type", "p_size"])
+    """Several aggregations of one query in one pass."""
+    found = _parts(spark, sf_dir).less_than("p_size", 40)
+    found = found.transform(lambda docs: docs.withColumn("p_size", F.col("p_size").cast("string")))
+    for name in ("p_brand", "p_type", "p_size"):
+        found = found.field_based_aggregation(name, name)
+    results = found.execute().aggregations(share=True)
+    facets = [
+        buckets.select(F.lit(name).alias("facet"), F.col(name).alias("key"), "doc_count")
+        for name, buckets in results.items()
+    ]
+    return functools.reduce(DataFrame.union, facets)
 
 
 @query(
