@@ -17,6 +17,8 @@ from treeseek.session import materialise
 
 SHARE = 2000
 FLOOR = 100_000
+# WindowGroupLimit thins a ranked window before its shuffle up to this many rows.
+_THINNED_BY_SPARK = 1000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], floor: int | None = None) -> DataFrame | None:
@@ -71,15 +73,32 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], lab
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows per group; groups are thinned in pieces before they meet."""
-    pieces = 64
-    sliced = df.withColumn("_piece", F.pmod(F.xxhash64(*spread), F.lit(pieces)))
-    inner = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    outer = Window.partitionBy(*keys).orderBy(*order)
-    thinned = sliced.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= n)
-    return (
-        thinned.drop("_piece")
-        .withColumn("_rank", F.row_number().over(outer))
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
+    """The first ``n`` rows per group; rows that tie in ``order`` go by ``spread``.
+
+    Up to ``_THINNED_BY_SPARK`` rows a ranked window is thinned before its
+    shuffle. Beyond, rows are put in ranges of (keys, order) and counted per
+    range: ranges before the one that holds a group's n-th row are in whole,
+    those behind it are out, and only that one is ranked.
+    """
+    order = [*order, *[F.asc(c) for c in spread]]
+    if n <= _THINNED_BY_SPARK:
+        ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.where(F.col("_rank") <= n).drop("_rank")
+    ranged = df.repartitionByRange(*[F.asc(k) for k in keys], *order)
+    ranged = materialise(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    # One row per group and range it lies in.
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where(F.col("_before") < n)
+    named = counts.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_range").alias("_at"), "_before", (F.col("_before") + F.col("_n") <= n).alias("_whole"),
     )
+    same = F.col("_range") == F.col("_at")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    joined = ranged.join(named, same)
+    within = Window.partitionBy(*keys, "_range").orderBy(*order)
+    last = joined.where(~F.col("_whole")).withColumn("_rank", F.row_number().over(within))
+    last = last.where(F.col("_before") + F.col("_rank") <= n)
+    return joined.where("_whole").select(*df.columns).union(last.select(*df.columns))

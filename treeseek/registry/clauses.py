@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from treeseek.functions import dates
-from treeseek.functions.geo import distance_m
+from treeseek.functions.geo import cell_column, distance_m, point_column, with_cell
 from treeseek.model import KEYWORD_LIMIT
 from treeseek.operators import filters
 from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.data import documents, table
+from treeseek.session import materialise
 
 
 def _parts(spark, sf_dir):
@@ -183,6 +184,35 @@ def geo_sort(spark, sf_dir):
     return hits.select("s_suppkey", F.round("sort_values.s0", 6).alias("km"))
 
 
+_STORED_LAT = f"CASE WHEN s_suppkey % 4 = 3 THEN (floor(({_LAT} + 90) / 180.0 * 1073741824) + 0.5) / 1073741824 * 180 - 90 ELSE {_LAT} END"
+_STORED_LON = f"CASE WHEN s_suppkey % 4 = 3 THEN (floor(({_LON} + 180) / 360.0 * 1073741824) + 0.5) / 1073741824 * 360 - 180 ELSE {_LON} END"
+
+
+@query(
+    "geo_stored_forms",
+    f"""WITH stored AS (SELECT s_suppkey, {_STORED_LAT} AS lat, {_STORED_LON} AS lon FROM supplier),
+    away AS (SELECT s_suppkey, 2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin((radians(lat) - radians(-33.5)) / 2), 2)
+      + cos(radians(-33.5)) * cos(radians(lat)) * pow(sin((radians(lon) - radians(151.25)) / 2), 2)))) AS metres FROM stored)
+    SELECT s_suppkey, CAST(round(metres, 2) AS DOUBLE) AS metres FROM away WHERE metres <= 6000000""",
+)
+def geo_stored_forms(spark, sf_dir):
+    """Points stored as mappings, lists, pairs and geohashes, kept in the order of their cells."""
+    lat, lon = F.col("location.lat"), F.col("location.lon")
+    form = F.col("s_suppkey") % 4
+    stored = (
+        F.when(form == 0, F.to_json(F.struct(lat.alias("lat"), lon.alias("lon"))))
+        .when(form == 1, F.to_json(F.array(lon, lat)))
+        .when(form == 2, F.concat_ws(", ", lat.cast("string"), lon.cast("string")))
+        .otherwise(cell_column(lat, lon))
+    )
+    docs = _suppliers(spark, sf_dir).docs.withColumn("location", point_column(stored))
+    docs = docs.withColumn("location", with_cell(F.col("location")))
+    docs = materialise(docs.repartitionByRange("location.cell").sortWithinPartitions("location.cell"), "located")
+    here = "-33.5,151.25"
+    found = Search(SearchIndex(docs)).geo_distance("location", here, "6000km").matching()
+    return found.select("s_suppkey", F.round(distance_m(lat, lon, here), 2).alias("metres"))
+
+
 @query(
     "date_mapping",
     """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') AS wire,

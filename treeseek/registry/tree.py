@@ -115,6 +115,22 @@ def limit_per_index(spark, sf_dir):
     return found.select("doc_id", "dimension", "path")
 
 
+@query(
+    "limit_large_index",
+    """WITH d AS (SELECT event_id, CASE WHEN event_id % 8 = 0 THEN 'side' ELSE 'main' END AS dimension,
+      'events/' || user_id || '/' || event_id AS path FROM events)
+    SELECT event_id, dimension FROM d QUALIFY row_number() OVER (PARTITION BY dimension ORDER BY path) <= 4000""",
+)
+def limit_large_index(spark, sf_dir):
+    """More nodes per index than a ranked window should hold; one index has most of them."""
+    nodes = table(spark, sf_dir, "events").select(
+        "event_id", F.lit("live").alias("workspace"), F.col("event_id").cast("string").alias("node_id"),
+        F.when(F.col("event_id") % 8 == 0, "side").otherwise("main").alias("dimension"),
+        F.concat_ws("/", F.lit("events"), F.col("user_id").cast("string"), F.col("event_id").cast("string")).alias("path"),
+    )
+    return node_source.limit_per_index(nodes, 4000).select("event_id", "dimension")
+
+
 @query(
     "type_closure",
     f"""WITH RECURSIVE {SUPERTYPES_SQL}
