@@ -3,7 +3,7 @@
 Counts of words per language are taken over all training documents, and counts
 of character n-grams over those words. The model keeps the ``WORDS`` most
 frequent words of each language and the ``GRAMS`` most frequent n-grams of each
-length (at most: items that tie where the limit falls stay out), so its size is bounded whatever the corpus; it is broadcast.
+length, ties by hash, so its size is bounded whatever the corpus; it is broadcast.
 
 A word that the model knows scores by its logarithmic frequency in each
 language. An unknown word falls back to its n-grams of the greatest length of
@@ -41,6 +41,8 @@ LONGEST = 4
 # Words that only one document has in training say little; n-grams speak for them.
 MIN_COUNT = 2
 UNKNOWN = "und"
+# Items that tie where a limit falls are counted in two to this many slices.
+_SLICE_BITS = 12
 # Texts' unknown words whose scores a task keeps; the memory is bounded by it, results are the same.
 _CACHED = 200_000
 
@@ -97,16 +99,32 @@ def word_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _most(counts: DataFrame, keys: list[str], keep: int) -> DataFrame:
-    """The most frequent items per key, ``keep`` at most: items that tie where the limit falls stay out.
+def _most(counts: DataFrame, keys: list[str], item: str, keep: int) -> DataFrame:
+    """The most frequent items per key, ``keep`` at most; of those that tie where the limit falls, the first by hash.
 
-    The limit comes from how many items have each frequency, so the items of a
-    language never meet in one task.
+    The limit comes from how many items have each frequency. The items of the
+    frequency that straddles it are counted by the first bits of their hash,
+    and only those of the slice in which the last place falls are ranked. So
+    the items of a language never meet in one task.
     """
-    sizes = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("items"))
-    upto = F.sum("items").over(Window.partitionBy(*keys).orderBy(F.desc("n")))
-    limits = sizes.withColumn("upto", upto).where(F.col("upto") <= keep).groupBy(*keys).agg(F.min("n").alias("least"))
-    return counts.join(limits, keys).where(F.col("n") >= F.col("least")).drop("least")
+    names = [*keys, "n"]
+    sizes = counts.groupBy(*names).agg(F.count(F.lit(1)).alias("items"))
+    above = F.sum("items").over(Window.partitionBy(*keys).orderBy(F.desc("n"))) - F.col("items")
+    classes = sizes.withColumn("room", F.lit(keep) - above).where("room > 0")
+    classes = classes.select(*names, "room", (F.col("items") <= F.col("room")).alias("whole"))
+    placed = counts.join(classes, names)
+    fits = placed.where("whole").select(counts.columns)
+
+    hashed = placed.where("not whole").withColumn("hash", F.xxhash64(item))
+    hashed = hashed.withColumn("slice", F.shiftrightunsigned("hash", 64 - _SLICE_BITS))
+    slices = hashed.groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("items"))
+    before = F.sum("items").over(Window.partitionBy(*keys).orderBy("slice")) - F.col("items")
+    tied = hashed.join(slices.withColumn("before", before), [*keys, "slice"])
+    room = F.col("room") - F.col("before")
+    early = tied.where(F.col("items") <= room).select(counts.columns)
+    rank = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy("hash", item))
+    last = tied.where((room > 0) & (F.col("items") > room)).withColumn("rank", rank).where(F.col("rank") <= room)
+    return fits.unionByName(early).unionByName(last.select(counts.columns))
 
 
 def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:
@@ -114,7 +132,7 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
     counts = materialise(word_counts(training), "word-counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = tuple(sorted(totals))
-    known = _most(counts.where(F.col("n") >= MIN_COUNT), ["lang"], words).collect()
+    known = _most(counts.where(F.col("n") >= MIN_COUNT), ["lang"], "word", words).collect()
 
     lengths = F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("length")
     padded = F.when(F.col("length") > 1, F.concat(F.lit(" "), "word", F.lit(" "))).otherwise(F.col("word"))
@@ -132,7 +150,7 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
         (r["lang"], r["length"]): r["n"]
         for r in gram_counts.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect()
     }
-    top = _most(gram_counts, ["lang", "length"], grams).collect()
+    top = _most(gram_counts, ["lang", "length"], "gram", grams).collect()
 
     def table(rows: list[tuple[str, str, int]], total: dict[str, int]) -> tuple[dict[str, np.ndarray], np.ndarray]:
         # One floor for all languages: what is not known must not speak for the one with the smallest corpus.
