@@ -1,8 +1,8 @@
 """License scans: phrases in place, and an exact set-similarity join with notices as templates.
 
-A text block is a run of ``BLOCK_WORDS`` words of a document; blocks overlap by
-half, so that a notice of up to half a block lies whole in one, however its
-lines are wrapped. A block matches a template if it has at least ``CONTAINMENT``
+A text block is a run of ``BLOCK_WORDS`` words of a document, or of two times as
+many as the longest notice has if that is more; blocks overlap by half, so that
+a notice lies whole in one, however its lines are wrapped. A block matches a template if it has at least ``CONTAINMENT``
 of the template's different words.
 
 The words of all templates are ordered by the number of documents that have
@@ -37,7 +37,6 @@ from treeseek.session import materialise
 
 CONTAINMENT = 0.8
 BLOCK_WORDS = 128
-_STEP = BLOCK_WORDS // 2
 
 # Phrases and their labels.
 PHRASES = {
@@ -145,6 +144,7 @@ def scan(
     ``score`` is 1 where a phrase stands, else the best containment found.
     """
     templates = templates_of(notices, containment)
+    block = block_words(notices)
     vocabulary = sorted({w for t in templates for w in t.words} | {w for p in phrases for w in p.split()})
     placed = located(docs)
     texts = placed.select("row", field(id_column).alias("id"), words_of(field(text_column)).alias("words"))
@@ -170,7 +170,7 @@ def scan(
         ),
         "license-words",
     )
-    found = _similar(placed, base, text_column, templates, vocabulary)
+    found = _similar(placed, base, text_column, templates, vocabulary, block)
     all_labels = F.array_sort(F.array_union("base", F.coalesce("found", _strings([]))))
     return base.drop("known").join(found, "row", "left").select(
         "id",
@@ -184,13 +184,24 @@ def scan(
     )
 
 
-def blocks(words: str) -> Column:
+def block_words(notices: Sequence[tuple[str, str]]) -> int:
+    """Words of a block: two times the longest notice if that is more than ``BLOCK_WORDS``."""
+    longest = max((sum(w != "" for w in re.split(_NO_WORD, text.lower())) for _, text in notices), default=0)
+    return max(BLOCK_WORDS, 2 * longest)
+
+
+def blocks(words: str, block: int = BLOCK_WORDS) -> Column:
     """The starts of the blocks of a document; each word lies in one or two of them."""
-    return F.expr(f"sequence(0, greatest(size({words}) - 1, 0), {_STEP})")
+    return F.expr(f"sequence(0, greatest(size({words}) - 1, 0), {block // 2})")
 
 
 def _similar(
-    placed: DataFrame, base: DataFrame, text_column: str, templates: list[Template], vocabulary: list[str]
+    placed: DataFrame,
+    base: DataFrame,
+    text_column: str,
+    templates: list[Template],
+    vocabulary: list[str],
+    block: int,
 ) -> DataFrame:
     """row, found (labels), best (containment) for documents with a block that contains a template."""
     spark = placed.sparkSession
@@ -218,9 +229,9 @@ def _similar(
     marked = sifted(placed, F.xxhash64("row"), sieve(candidates.select(F.xxhash64("row").alias("h"))))
     texts = marked.where("maybe").select("row", words_of(field(text_column)).alias("words"))
     ranks = F.create_map(*[F.lit(x) for w in order for x in (w, rank[w])])
-    windows = texts.select("row", "words", F.explode(blocks("words")).alias("start")).select(
+    windows = texts.select("row", "words", F.explode(blocks("words", block)).alias("start")).select(
         "row",
-        F.array_intersect(F.slice("words", F.col("start") + 1, F.lit(BLOCK_WORDS)), _strings(vocabulary)).alias("known"),
+        F.array_intersect(F.slice("words", F.col("start") + 1, F.lit(block)), _strings(vocabulary)).alias("known"),
     )
     sets = windows.where(F.size("known") >= least).select(
         "row", F.array_sort(F.transform("known", lambda w: F.element_at(ranks, w))).alias("block")
