@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -64,14 +65,21 @@ class Model:
             return known
         padded = f" {word} "
         for length in range(len(self.grams), 0, -1):
-            table = self.grams[length - 1]
+            places, scores = self._gram_rows[length - 1]
             text = padded if length > 1 else word
-            found = [table.get(text[i : i + length]) for i in range(len(text) - length + 1)]
-            if any(f is not None for f in found):
-                floor = self.floors[length - 1]
-                return sum(floor if f is None else f for f in found) / len(found)
+            rows = [places.get(text[i : i + length], 0) for i in range(len(text) - length + 1)]
+            if any(rows):
+                return scores[rows].sum(axis=0) / len(rows)
         return None
 
+    @cached_property
+    def _gram_rows(self) -> list[tuple[dict[str, int], np.ndarray]]:
+        """By length: the row of each known n-gram, and the rows; the first one is that of all others."""
+        return [
+            ({gram: i for i, gram in enumerate(table, 1)}, np.array([floor, *table.values()]))
+            for table, floor in zip(self.grams, self.floors)
+        ]
+
 
 def words_of(text: str) -> list[str]:
     """Runs of letters; digits of other kinds that stand in such a run do not make a word by themselves."""
@@ -172,6 +180,51 @@ def fit(training: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: in
     return Model(languages, known_words, tuple(t for t, _ in by_length), tuple(f for _, f in by_length))
 
 
+class _Table:
+    """Scores of words as rows of one matrix: the model's words, and behind them unknown ones that texts had.
+
+    Of these, ``_CACHED`` stay between texts; those of a single text all have a row while it is scored.
+    """
+
+    def __init__(self, model: Model):
+        self._model = model
+        self._known = {word: i for i, word in enumerate(model.words)}
+        self._met: dict[str, int] = {}
+        self._used = len(self._known)
+        self.scores = np.empty((max(self._used, 1), len(model.languages)))
+        for word, i in self._known.items():
+            self.scores[i] = model.words[word]
+
+    def rows(self, counts: Counter) -> tuple[list[int], list[int]]:
+        """Rows of the words that have scores, and how often each stands."""
+        if len(self._met) >= _CACHED:
+            self._met.clear()
+            self._used = len(self._known)
+        rows, times = [], []
+        for word, n in counts.items():
+            row = self._known.get(word)
+            if row is None:
+                row = self._met.get(word)
+                if row is None:
+                    row = self._add(word)
+            if row >= 0:
+                rows.append(row)
+                times.append(n)
+        return rows, times
+
+    def _add(self, word: str) -> int:
+        vector = self._model.word(word)
+        if vector is None:
+            self._met[word] = -1
+            return -1
+        if self._used == len(self.scores):
+            self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
+        row = self._met[word] = self._used
+        self.scores[row] = vector
+        self._used += 1
+        return row
+
+
 def predict(spark: SparkSession, docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """``docs`` with its text replaced by ``lang_pred`` and ``score``."""
     rest = [c for c in docs.columns if c != text_column]
@@ -179,27 +232,16 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, text_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        cache: dict[str, np.ndarray | None] = {}
+        table = _Table(model)
 
         def scores(text: str | None) -> tuple[str, float]:
             counts = Counter(words_of(text or ""))
             if not counts or not model.languages:
                 return UNKNOWN, 0.0
-            found, times = [], []
-            for word, n in counts.items():
-                vector = model.words.get(word)
-                if vector is None:
-                    if word not in cache:
-                        if len(cache) >= _CACHED:
-                            cache.clear()
-                        cache[word] = model.word(word)
-                    vector = cache[word]
-                if vector is not None:
-                    found.append(vector)
-                    times.append(n)
-            if not found:
+            rows, times = table.rows(counts)
+            if not rows:
                 return model.languages[0], 1.0 / len(model.languages)
-            mean = np.array(times, dtype=float) @ np.array(found) / sum(times)
+            mean = np.array(times, dtype=float) @ table.scores[rows] / sum(times)
             best = int(mean.argmax())
             return model.languages[best], float(1.0 / np.exp(mean - mean[best]).sum())
 
