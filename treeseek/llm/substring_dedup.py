@@ -4,14 +4,15 @@ Every run of ``SPAN`` consecutive sentences, or more if short, is hashed (128 bi
 occur more than once in the corpus, the first occurrence — smallest document id,
 then place — stays, and sentences that any other occurrence covers are removed.
 A sentence ends at a full stop, exclamation or question mark with white space
-behind it, or at a line's end. Long ones are cut at words that the text itself
-chooses: of any ``LONGEST`` words in a row, the one with the smallest hash. What
-stands before a passage does not move these cuts, but for the first and last
-words of it, so a passage that begins and ends within sentences has the same
-parts in every document; with parts of ``LONGEST`` words at most, one of six
-times as many words has a whole span in common. The words outside of common
-parts, fewer than twice ``LONGEST`` at either end, stay. Case and white space do
-not matter; a span of fewer than ``MIN_WORDS`` words takes in the sentences behind it.
+behind it, or at a line's end, and goes as a whole or not at all. Only one of
+more than ``LONGEST`` words is divided, at words that the text itself chooses: of
+any ``PART`` words in a row, the one with the smallest hash. What stands before
+a passage does not move these cuts, but for the first and last words of it, so
+that a passage without full stops has the same parts in every document. A
+passage that begins and ends within sentences loses the sentences between; those
+of which it has a part only stay. Two sentences make a span, since one of 51
+words may have no third as a whole. Case and white space do not matter; a span
+of fewer than ``MIN_WORDS`` words takes in the sentences behind it.
 
 Counts of hashes are all that the whole corpus shuffles. The repeated ones fill
 a sieve of bounded size; only what it lets through is compared by place, a
@@ -40,9 +41,10 @@ from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted
 from treeseek.operators.skew import hot_keys, join_unique
 from treeseek.session import materialise, spread
 
-SPAN = 3
-LONGEST = 8
-MIN_WORDS = 10
+SPAN = 2
+LONGEST = 24
+PART = 16
+MIN_WORDS = 12
 
 # Spans that a task holds before it passes them on; one text may have more.
 _SPANS_AT_ONCE = 100_000
@@ -51,13 +53,13 @@ _END = re.compile(r"[.!?]+[ \t\n\x0b\x0c\r]+|\n+")
 _WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
-def cuts(words: list[bytes], longest: int) -> list[int]:
-    """The numbers of the words before which a long sentence is cut: no ``longest`` words in a row are without one."""
+def cuts(words: list[bytes], part: int) -> list[int]:
+    """The numbers of the words before which a long sentence is cut: no ``part`` words in a row are without one."""
     draws = [_draw(w) for w in words]
     found: list[int] = []
     last = -1
-    for end in range(longest, len(words)):
-        first = end - longest + 1
+    for end in range(part, len(words)):
+        first = end - part + 1
         if last < first:
             last = first
             for i in range(first + 1, end + 1):
@@ -76,15 +78,16 @@ def _draw(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def sentences(text: str, longest: int = LONGEST) -> list[tuple[int, int, list[bytes]]]:
+def sentences(text: str, longest: int = LONGEST, part: int = PART) -> list[tuple[int, int, list[bytes]]]:
     """Start, end and lower-cased words of each sentence; together they are the whole text."""
     out: list[tuple[int, int, list[bytes]]] = []
-    ends = [m.end() for m in _END.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
+    low = _lower(text)
+    ends = [m.end() for m in _END.finditer(low)]
+    if not ends or ends[-1] < len(low):
+        ends.append(len(low))
     start = 0
     for end in ends:
-        words = text[start:end].lower().encode().split()
+        words = low[start:end].encode().split()
         if not words:
             if out:
                 out[-1] = (out[-1][0], end, out[-1][2])
@@ -93,14 +96,22 @@ def sentences(text: str, longest: int = LONGEST) -> list[tuple[int, int, list[by
         if len(words) <= longest:
             out.append((start, end, words))
         else:
-            places = [m.start() + start for m in _WORD.finditer(text[start:end])]
-            edges = [start, *[places[i] for i in cuts(words, longest)], end]
-            for k, (a, b) in enumerate(zip(edges, edges[1:])):
-                out.append((a, b, text[a:b].lower().encode().split()))
+            places = [m.start() for m in _WORD.finditer(low, start, end)]
+            at = [0, *cuts(words, part), len(words)]
+            edges = [start, *[places[i] for i in at[1:-1]], end]
+            out += [(edges[k], edges[k + 1], words[at[k] : at[k + 1]]) for k in range(len(at) - 1)]
         start = end
     return out
 
 
+def _lower(text: str) -> str:
+    """Lower-cased, character by character where a letter would become two."""
+    low = text.lower()
+    if len(low) == len(text):
+        return low
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def span_hashes(
     parts: list[tuple[int, int, list[bytes]]], span: int, least: int
 ) -> tuple[list[int], list[bytes]]:
