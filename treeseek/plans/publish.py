@@ -21,6 +21,7 @@ from treeseek.operators import validity
 from treeseek.operators.text_index import TextIndex, field_stats, lay_out, stats_change, term_stats
 from treeseek.plans.build import Built
 from treeseek.plans.search import SearchIndex
+from treeseek.sources import error_sinks
 
 _NAME = re.compile(r"[a-z][a-z0-9_]*")
 _VERSION = re.compile(r"[a-z0-9]+")
@@ -68,11 +69,14 @@ class IndexStore:
         database: str = "default",
         settings: Mapping[str, Mapping] | None = None,
         analyzers: AnalyzerSet | None = None,
+        error_sink: tuple[str, Mapping[str, str]] | None = None,
     ):
+        """``error_sink``: a data source and its options that errors are added to, next to the table of the version."""
         if not _NAME.fullmatch(alias):
             raise PublishError(f"not an index name: {alias!r}")
         self.spark, self.alias, self.database = spark, alias, database
         self.settings = dict(settings or {})
+        self.error_sink = error_sink
         self.error_count = 0
         self.analyzers = analyzers or AnalyzerSet.from_settings(self.settings)
 
@@ -164,6 +168,7 @@ class IndexStore:
         seen = Observation()
         self._write(validity.counted(built.errors, seen), version, "errors", ("run_id",))
         self.error_count = seen.get["errors"]
+        self._pass_on(self.spark.table(self._table(version, "errors")))
         tree = built.tree.repartitionByRange("dimension", "workspace", "path").sortWithinPartitions(
             "dimension", "workspace", "path"
         )
@@ -282,7 +287,14 @@ class IndexStore:
         if errors is not None:
             target = self._table(version, "errors")
             columns = [c for c in self.spark.table(target).columns if c != "run_id"]
-            self._overwrite(errors.select(columns), target, f"run_id = 'batch-{int(batch_id)}'")
+            run = f"batch-{int(batch_id)}"
+            self._overwrite(errors.select(columns), target, f"run_id = '{run}'")
+            self._pass_on(self.spark.table(target).where(F.col("run_id") == run))
+
+    def _pass_on(self, stored: DataFrame) -> None:
+        """To the sink, from what is stored. A batch that is sent again is there twice, under the same references."""
+        if self.error_sink is not None:
+            error_sinks.store(stored, *self.error_sink)
 
     def _put(self, df: DataFrame, target: str, batch_id: int) -> None:
         columns = [c for c in self.spark.table(target).columns if c != _BATCH]
@@ -333,6 +345,19 @@ class IndexStore:
             self._record(self._event(version, dimensions, "dropped"))
         return self.spark.createDataFrame(names, "index_name string")
 
+    def drop(self) -> None:
+        """The whole index: views, all versions, the catalog."""
+        if not self._has(self._catalog()):
+            return
+        versions = [r.version for r in self.catalog().select("version").distinct().collect()]
+        served = {f"{self.alias}_{kind}" for kind in KINDS if kind != "docs"} | {self.alias}
+        for row in self.spark.sql(f"SHOW VIEWS IN {self.database} LIKE '{self.alias}*'").collect():
+            if not row.isTemporary and (row.viewName in served or row.viewName.startswith(f"{self.alias}_in_")):
+                self.spark.sql(f"DROP VIEW IF EXISTS {self.database}.{row.viewName}")
+        for version in versions:
+            self._drop(version)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog()}")
+
     # Reading
 
     def read(self, workspaces: Mapping[str, str | None] | None = None) -> SearchIndex:

@@ -25,4 +25,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from treeseek.registry import aggregations, building, clauses, fulltext, live, maintenance, tree, workspaces  # noqa: F401
+    from treeseek.registry import (  # noqa: F401
+        aggregations, building, clauses, fulltext, live, maintenance, reading, tree, workspaces,
+    )

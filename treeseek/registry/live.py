@@ -16,8 +16,8 @@ from treeseek.plans.search import Search, SearchIndex
 from treeseek.registry import query
 from treeseek.registry.building import CONVERSATION_TYPES, conversation_nodes
 from treeseek.registry.data import TOKENS_SQL, documents, table
-from treeseek.session import scratch_path, spread
-from treeseek.streaming.changes import REMOVE
+from treeseek.session import materialise, scratch_path, spread
+from treeseek.streaming.changes import INDEX, REMOVE
 
 
 @query(
@@ -55,7 +55,54 @@ def live_upkeep(spark, sf_dir):
     stream = spark.readStream.schema(removed.schema).parquet(log)
     follow(store, stream, lambda: now, config, scratch_path(spark, "checkpoint")).awaitTermination()
     pages = store.current("docs").where("type = 'Page'")
-    return pages.select("node_id", "fulltext.h1", "fulltext.text")
+    kept = materialise(pages.select("node_id", "fulltext.h1", "fulltext.text"), "followed")
+    store.drop()
+    return kept
+
+
+@query(
+    "live_index_events",
+    """WITH shown AS (
+      SELECT conv_id, turn, CASE role WHEN 'user' THEN 'h2' ELSE 'text' END AS bucket,
+             trim(CASE role WHEN 'assistant' THEN 'Edited. ' || text ELSE text END) AS text
+      FROM conversations WHERE role <> 'system'),
+    parts AS (SELECT * FROM shown WHERE text <> '')
+    SELECT 'c' || c.conv_id AS node_id,
+           string_agg(p.text, ' ' ORDER BY p.turn) FILTER (WHERE bucket = 'h2') AS h2,
+           string_agg(p.text, ' ' ORDER BY p.turn) FILTER (WHERE bucket = 'text') AS text
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN parts p USING (conv_id) GROUP BY c.conv_id""",
+)
+def live_index_events(spark, sf_dir):
+    """An index follows three batches: answers are edited, questions come in anew, system turns go."""
+    no_time = F.lit(None).cast("timestamp")
+    first = conversation_nodes(spark, sf_dir).withColumns(
+        {"created": no_time, "last_modified": no_time, "original_last_modified": no_time,
+         "hidden_in_menu": F.lit(False)}
+    )
+    edited = F.create_map(F.lit("text"), F.concat(F.lit("Edited. "), F.col("properties")["text"]))
+    now = first.where("type <> 'system'").withColumn(
+        "properties", F.when(F.col("type") == "assistant", edited).otherwise(F.col("properties"))
+    )
+    config = BuildConfig(CONVERSATION_TYPES)
+    store = IndexStore(spark, f"talks_{uuid.uuid4().hex[:12]}")
+    store.make_live(store.create(build(first.where("type <> 'user'"), config)))
+    log = scratch_path(spark, "changes")
+    turns = table(spark, sf_dir, "conversations")
+    for role, op in (("assistant", INDEX), ("user", INDEX), ("system", REMOVE)):
+        batch = turns.where(F.col("role") == role).select(
+            (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("seq"),
+            F.lit(op).alias("op"),
+            F.lit(LIVE).alias("workspace"),
+            F.lit(NO_DIMENSION).alias("dimension"),
+            F.concat_ws("-", F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.col("turn").cast("string")).alias("node_id"),
+        )
+        batch.write.mode("append").parquet(log)
+        stream = spark.readStream.schema(batch.schema).parquet(log)
+        follow(store, stream, lambda: now, config, f"{log}-checkpoint").awaitTermination()
+    pages = store.current("docs").where("type = 'Page'")
+    kept = materialise(pages.select("node_id", "fulltext.h2", "fulltext.text"), "followed")
+    store.drop()
+    return kept
 
 
 def _twice(spark, sf_dir):
