@@ -144,24 +144,32 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, bounds: np.ndarray) -> n
     return np.sort(np.concatenate(found))
 
 
+# What the text that is hashed has between a group's ids of either tokenizer, and between groups.
+SIGNS = (";", "|")
+
+
 class _Spelling:
-    """Decimal ids with the sign behind them, for the text that is hashed: none, comma, semicolon, bar."""
+    """Decimal ids with the sign behind them, for the text that is hashed: none, comma, then the two of ``signs``."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, signs: tuple[str, str]):
         self.n = n
-        self.parts = [str(i).encode() + sign for sign in (b"", b",", b";", b"|") for i in range(n)]
+        self.parts = [str(i).encode() + sign.encode() for sign in ("", ",", *signs) for i in range(n)]
 
 
-@lru_cache(maxsize=1)
-def _spelling(n: int) -> _Spelling:
-    return _Spelling(n)
+@lru_cache(maxsize=2)
+def _spelling(n: int, signs: tuple[str, str]) -> _Spelling:
+    return _Spelling(n, signs)
 
 
 class Aligned:
     """Texts aligned together: per text numbers of tokens, groups and links, the digest, and its pairs of ids."""
 
-    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], bytes_a: np.ndarray, bytes_b: np.ndarray, n_b: int):
+    def __init__(
+        self, a: list[np.ndarray], b: list[np.ndarray], bytes_a: np.ndarray, bytes_b: np.ndarray, n_b: int,
+        signs: tuple[str, str] = SIGNS,
+    ):
         """``bytes_a`` and ``bytes_b``: the number of bytes of each id. A text has tokens of both or of none."""
+        self.signs = signs
         self.n_a = np.array([len(x) for x in a], dtype=np.int64)
         self.n_b = np.array([len(x) for x in b], dtype=np.int64)
         ids_a, ids_b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
@@ -205,7 +213,7 @@ class Aligned:
         before_a = np.searchsorted(group_a, group_b, side="right")
         last_a = np.append(group_a[1:] != group_a[:-1], True)
         last_b = np.append(group_b[1:] != group_b[:-1], True)
-        table = _spelling(1 + int(max(ids_a.max(), ids_b.max(), 65_535)))
+        table = _spelling(1 + int(max(ids_a.max(), ids_b.max(), 65_535)), self.signs)
         order = np.empty(len(ids_a) + len(ids_b), np.int64)
         order[np.arange(len(ids_a)) + before_b] = ids_a + table.n * np.where(last_a, 2, 1)
         order[np.arange(len(ids_b)) + before_a] = ids_b + table.n * np.where(last_b, 3, 1)
@@ -218,7 +226,7 @@ class Aligned:
             self.digests[i] = hashlib.sha256(b"".join([parts[c] for c in body])).hexdigest()
 
 
-def _aligned(texts: DataFrame, a: str, b: str) -> DataFrame:
+def _aligned(texts: DataFrame, a: str, b: str, signs: tuple[str, str]) -> DataFrame:
     """id, n_a, n_b, n_groups, n_links, groups_sha256 and ``pairs``, the different linked ids and how often."""
     struct = pa.struct([("key", pa.int64()), ("times", pa.int32())])
 
@@ -254,7 +262,7 @@ def _aligned(texts: DataFrame, a: str, b: str) -> DataFrame:
         for batch in batches:
             for slice_, texts in portions(batch):
                 ids = list(encoded(texts, first, second))
-                found = Aligned([x for x, _ in ids], [y for _, y in ids], bytes_a, bytes_b, len(bytes_b))
+                found = Aligned([x for x, _ in ids], [y for _, y in ids], bytes_a, bytes_b, len(bytes_b), signs)
                 offsets = np.cumsum([0] + [len(k) for k, _ in found.pairs])
                 keys = np.concatenate([np.zeros(0, np.int64), *[k for k, _ in found.pairs]])
                 times = np.concatenate([np.zeros(0, np.int64), *[t for _, t in found.pairs]])
@@ -278,11 +286,14 @@ def _aligned(texts: DataFrame, a: str, b: str) -> DataFrame:
 
 def align(
     docs: DataFrame, tokenizer_a: str, tokenizer_b: str, id_column: str = "doc_id", text_column: str = "text",
-    lookup_pairs: int = LOOKUP_PAIRS, hot: int = HOT_ROWS,
+    lookup_pairs: int = LOOKUP_PAIRS, hot: int = HOT_ROWS, signs: tuple[str, str] = SIGNS,
 ) -> DataFrame:
-    """id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for each row of ``docs``."""
+    """id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for each row of ``docs``.
+
+    ``signs``: what the hashed text has between the ids of either tokenizer in a group, and between groups.
+    """
     texts = docs.select(column(id_column).alias("id"), column(text_column).alias("text"))
-    found = _aligned(spread(texts), tokenizer_a, tokenizer_b).withColumn("number", F.monotonically_increasing_id())
+    found = _aligned(spread(texts), tokenizer_a, tokenizer_b, signs).withColumn("number", F.monotonically_increasing_id())
     found = materialise(found, "aligned")
     counts, pairs = pair_counts(found, tokenizer_b)
     linked = found.select("number", F.inline("pairs"))

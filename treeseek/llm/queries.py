@@ -295,6 +295,7 @@ def op12_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with how two tokenizers cut it."""
     found = alignment.align(
-        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"),
+        signs=("|", ";"),
     )
     return found.withColumnRenamed("id", "doc_id")
