@@ -40,10 +40,17 @@ def scan_all(spark, sf_dir):
     return found.select("workspace", "dimension", "n")
 
 
+# Files that a task writes one after the other: each costs a round trip to the file system, however small it is.
+FILES_A_TASK = 500
+
+
 def _page_files(spark, sf_dir):
     """Each page as a file, which ends with the line feed that the text sink puts there."""
     path = scratch_path(spark, "page-files")
     pages = spread(table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")))
+    tasks = -(-pages.count() // FILES_A_TASK)
+    if tasks > pages.rdd.getNumPartitions():
+        pages = pages.repartition(tasks)
     pages.write.partitionBy("page_id").text(path)
     return assets.read(spark, path, recursiveFileLookup="true", pathGlobFilter="*.txt")
 
