@@ -17,9 +17,11 @@ Connected components come from contracting those links in rounds, each written
 to the shared folder.
 
 ``one_of_similar`` is for a pipeline: it links by Jaccard similarity of shingle
-sets. Several independent fingerprints (bands of minima) find the candidates;
-each link is checked on the sets themselves, read again for candidates only. In
-a bucket, members are compared with one of them, its leader, the same one in all
+sets. Candidates are texts whose SimHash fingerprints, of the same shingles, are
+equal or meet at an anchor within the distance. That is not all: at similarity
+0.8 about ten bits differ. Bands of minima find the candidates beyond. Each link
+is checked on the sets themselves, read again for candidates only. What the
+anchors linked goes into the buckets of the bands with one label. In a bucket, members are compared with one of them, its leader, the same one in all
 buckets that it can lead; labels of linked ones are contracted, and a bucket of
 one label is done. What is still open after ``LEADERS`` such turns is compared
 pair by pair in buckets of at most ``FEW`` members. Larger ones hold texts that
@@ -89,7 +91,10 @@ def shingles(text: str | None, words: int) -> list[int]:
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """The SimHash of a text's word shingles, as an unsigned number."""
-    hashes = shingles(text, words)
+    return _majority(shingles(text, words))
+
+
+def _majority(hashes: list[int]) -> int:
     if not hashes:
         return 0
     ones = np.zeros(64, dtype=np.int64)
@@ -153,16 +158,20 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """From distinct fingerprints: edges (a, b) that connect all within two bits of each other."""
-    met = (
+def at_anchors(distinct: DataFrame) -> DataFrame:
+    """From distinct fingerprints: ``members``, those that meet at an anchor."""
+    return (
         distinct.select("fingerprint", F.explode(anchors()).alias("anchor"))
         .groupBy("anchor")
         .agg(F.collect_list("fingerprint").alias("members"))
         .where(F.size("members") > 1)
         .select("members")
     )
-    return met.mapInArrow(_linked, "a bigint, b bigint").distinct()
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """From distinct fingerprints: edges (a, b) that connect all within two bits of each other."""
+    return at_anchors(distinct).mapInArrow(_linked, "a bigint, b bigint").distinct()
 
 
 def cluster(prints: DataFrame, id_column: str = "id", hot: int = HOT_ROWS) -> DataFrame:
@@ -218,32 +227,75 @@ def bands(found: np.ndarray, n_bands: int = BANDS) -> list[int]:
     return [_signed(xxhash.xxh64_intdigest(rows[i].tobytes(), i)) for i in range(n_bands)]
 
 
-def _shingle_set(text: str | None, words: int) -> np.ndarray:
-    return np.unique(np.array(shingles(text, words), dtype=np.uint64))
+def _distinct(hashes: list[int]) -> np.ndarray:
+    return np.unique(np.array(hashes, dtype=np.uint64))
 
 
 def _sketched(texts: DataFrame, words: int, n_bands: int) -> DataFrame:
-    """row, id, size (number of different shingles) and bands."""
+    """row, id, size (number of different shingles), fingerprint and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingle_set(t.as_py(), words) for t in batch.column("text")]
+            sizes, prints, banded = [], [], []
+            for text in batch.column("text"):
+                hashes = shingles(text.as_py(), words)
+                different = _distinct(hashes)
+                sizes.append(len(different))
+                prints.append(_signed(_majority(hashes)))
+                banded.append(bands(different, n_bands))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"), batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([bands(s, n_bands) for s in sets], pa.list_(pa.int64())),
+                    batch.column("row"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()),
+                    pa.array(banded, pa.list_(pa.int64())),
                 ],
-                names=["row", "id", "size", "bands"],
+                names=["row", "id", "size", "fingerprint", "bands"],
             )
 
-    schema = texts.select("row", "id", F.lit(0).cast("bigint").alias("size"), F.array(F.lit(0).cast("bigint")).alias("bands"))
+    number = F.lit(0).cast("bigint")
+    schema = texts.select("row", "id", number.alias("size"), number.alias("fingerprint"), F.array(number).alias("bands"))
     return texts.mapInArrow(run, schema.schema)
 
 
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the fingerprints at an anchor, each with the first that is within the distance."""
+    for batch in batches:
+        ends, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for group in batch.column("members"):
+            points = np.sort(np.array(group.as_py(), dtype=np.int64))
+            near = np.bitwise_count((points[:, None] ^ points[None, :]).view(np.uint64)) <= MAX_BITS
+            first = near.argmax(axis=1)
+            other = first != np.arange(len(points))
+            ends.append(points[other])
+            firsts.append(points[first[other]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(ends), pa.int64()), pa.array(np.concatenate(firsts), pa.int64())], names=["a", "b"]
+        )
+
+
+def anchored_pairs(found: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
+    """Pairs (a, b) of nodes whose fingerprints are equal, or meet at an anchor and differ in few bits.
+
+    A node is paired with the first of its fingerprint, and that one with the
+    first of the next fingerprint at each anchor: no more pairs than copies.
+    """
+    prints = found.groupBy("fingerprint").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
+    prints = materialise(prints, "prints")
+    first = prints.select("fingerprint", "first")
+    large = hot_keys(prints.select("fingerprint", "n"), ["fingerprint"], hot)
+    several = first.join(prints.where("n > 1").select("fingerprint"), "fingerprint", "left_semi")
+    equal = join_unique(found.select("node", "fingerprint"), several, ["fingerprint"], large, ["node"])
+    equal = equal.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    edges = at_anchors(prints).mapInArrow(_nearest, "a bigint, b bigint").distinct()
+    named = edges.join(first.select(F.col("fingerprint").alias("a"), F.col("first").alias("x")), "a").join(
+        first.select(F.col("fingerprint").alias("b"), F.col("first").alias("y")), "b"
+    )
+    return equal.unionByName(named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
 def _sets(texts: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingle_set(t.as_py(), words).view(np.int64) for t in batch.column("text")]
+            sets = [_distinct(shingles(t.as_py(), words)).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
             )
@@ -306,13 +358,19 @@ def similar_groups(
     member = F.struct("node", F.col("node").alias("label"), "size").alias("member")
     live = materialise(passed.select("bucket", member), "band-members")
 
-    wanted = live.select("member.node").distinct()
+    close = materialise(anchored_pairs(found, hot).distinct(), "anchored")
+    ends = close.select(F.explode(F.array("a", "b")).alias("node"))
+    wanted = live.select("member.node").unionByName(ends).distinct()
     wanted = materialise(found.join(wanted, "node", "left_semi").select("row", "node"), "alike")
     marked = sifted(texts, F.xxhash64("row"), sieve(wanted.select(F.xxhash64("row").alias("h"))))
     read_again = marked.where("maybe").join(wanted, "row").select("node", "text")
     sets = materialise(_sets(read_again, words), "shingle-sets")
 
-    steps: list[DataFrame] = []
+    # What the anchors link has one label before any bucket is opened.
+    alike = _verified(close, sets, similarity, hot)
+    moved = materialise(components(alike, hot), "roots")
+    steps: list[DataFrame] = [moved]
+    live = materialise(_renamed(live, moved, hot), "band-members")
     turn = depth = 0
     while True:
         # One leader for all buckets that a node leads, so that it is met once and not once a bucket.
@@ -348,8 +406,6 @@ def similar_groups(
             live = materialise(_divided(live, found, n_bands, depth), "band-members")
             depth += 1
     root = _roots(steps, hot)
-    if root is None:
-        return found.select("row", "id", F.col("node").alias("root")).limit(0)
     return found.select("row", "id", "node").join(root, "node").select("row", "id", "root")
 
 
@@ -369,10 +425,8 @@ def _divided(live: DataFrame, found: DataFrame, n_bands: int, depth: int) -> Dat
     return keyed.select(F.xxhash64("bucket", "k", "band").alias("bucket"), "member")
 
 
-def _roots(steps: list[DataFrame], hot: int) -> DataFrame | None:
+def _roots(steps: list[DataFrame], hot: int) -> DataFrame:
     """node and root after all steps, each of which names labels of the one before anew."""
-    if not steps:
-        return None
     known = steps[-1]
     for step in reversed(steps[:-1]):
         counts = materialise(step.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root-sizes")
