@@ -111,7 +111,7 @@ def tokenised(chunks: DataFrame, tokens: Column) -> DataFrame:
 
 
 def with_offsets(counted: DataFrame) -> DataFrame:
-    """Tokenised parts with the place of their first term in the whole bucket.
+    """Tokenised parts with the place of their first term in the whole bucket, and in how many ranges the bucket lies.
 
     A running count in two steps: within each range, and over the ranges of a
     page. Neither step sees all parts of a large page.
@@ -126,6 +126,7 @@ def with_offsets(counted: DataFrame) -> DataFrame:
             F.sum("range_tokens").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("range_offset"),
         F.sum("range_tokens").over(Window.partitionBy(*group)).alias("dl"),
+        F.count(F.lit(1)).over(Window.partitionBy(*group)).alias("n_ranges"),
     )
     within = (
         Window.partitionBy(*group, "chunk")
@@ -134,7 +135,8 @@ def with_offsets(counted: DataFrame) -> DataFrame:
     )
     local = counted.withColumn("_local", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     return local.join(before_range, [*group, "chunk"]).select(
-        *group, "part_node_id", "tokens", (F.col("_local") + F.col("range_offset")).cast("int").alias("offset"), "dl"
+        *group, "chunk", "part_node_id", "tokens",
+        (F.col("_local") + F.col("range_offset")).cast("int").alias("offset"), "dl", "n_ranges",
     )
 
 
