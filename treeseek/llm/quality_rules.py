@@ -46,6 +46,9 @@ LINE_DOCUMENTS = 20
 # Documents that had more than this share of their words in the same frequent lines count as copies.
 DEPLETED_SHARE = 0.5
 
+# Texts whose lines a Python worker holds at once, whatever the size of the Arrow batches.
+ROWS_AT_ONCE = 500
+
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 _DIGITS = re.compile(rb"[0-9]+")
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -126,9 +129,15 @@ def examine(text: str | None) -> tuple[dict[str, int], dict[int, int]]:
     return stats, lines
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _examined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lines_type = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))
-    for batch in batches:
+    for batch in _small(batches):
         stats: dict[str, list[int]] = {name: [] for name in _STATS}
         content, lines = [], []
         for value in batch.column("text"):
@@ -232,7 +241,7 @@ def accepted(
     maybe = maybe.select("doc", field(text_column).alias("text"), "gone")
 
     def stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             texts = []
             for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
                 texts.append(without_lines(text, set(gone)) if gone else None)
