@@ -21,13 +21,16 @@ sets. Candidates are texts whose SimHash fingerprints, of the same shingles, are
 equal or meet at an anchor within the distance. That is not all: at similarity
 0.8 about ten bits differ. Bands of minima find the candidates beyond. Each link
 is checked on the sets themselves, read again for candidates only. What the
-anchors linked goes into the buckets of the bands with one label. In a bucket, members are compared with one of them, its leader, the same one in all
-buckets that it can lead; labels of linked ones are contracted, and a bucket of
-one label is done. What is still open after ``LEADERS`` such turns is compared
-pair by pair in buckets of at most ``FEW`` members. Larger ones hold texts that
-share a band but are not similar: their members are divided by further bands,
-and again, ``DEPTH`` times; the rest takes turns until no bucket is open. A turn
-makes as many pairs as there are members, whatever the size of a group.
+anchors linked goes into the buckets of the bands with one label. In a bucket,
+members are compared with one of them, its leader, the same one in all buckets
+that it can lead; labels of linked ones are contracted, and a bucket of one
+label is done. A turn makes as many pairs as there are members, whatever the
+size of a group. What is still open after ``LEADERS`` such turns is compared
+pair by pair in buckets of at most ``FEW`` members. Members of larger ones are
+compared if they have different labels and share one of the shingles that are
+rare among them, at a place that leaves enough others to share: a prefix
+filter, which loses no pair. That is the last turn, so the number of turns does
+not grow with the data.
 
 Defined results: null and empty texts, and texts without words, have
 fingerprint zero and are linked like any other; a row with a null id belongs to
@@ -61,10 +64,9 @@ SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 5
 # Turns in which a bucket's members meet a leader only; then buckets of at most so many members compare all pairs,
+# and members of larger ones those that share a rare shingle.
 LEADERS = 2
 FEW = 16
-# and larger ones are divided by further bands, so many times.
-DEPTH = 4
 
 _ALL = (1 << 64) - 1
 # Bit k of the syndrome is the parity of the positions 1 to 63 that have bit k.
@@ -371,8 +373,7 @@ def similar_groups(
     moved = materialise(components(alike, hot), "roots")
     steps: list[DataFrame] = [moved]
     live = materialise(_renamed(live, moved, hot), "band-members")
-    turn = depth = 0
-    while True:
+    for turn in range(LEADERS + 1):
         # One leader for all buckets that a node leads, so that it is met once and not once a bucket.
         drawn = F.struct(F.xxhash64(F.lit(turn), "member.node"), "member.node")
         open_ = (
@@ -388,41 +389,70 @@ def similar_groups(
             break
         large = hot_keys(open_.select("bucket", "n"), ["bucket"], hot)
         met = materialise(join_unique(live, open_, ["bucket"], large, ["member"]), "met")
-        settled = turn >= LEADERS
-        led = met.where(F.col("n") > few) if settled else met
-        pairs = _unlike(led, "member", "leader", similarity)
-        if settled:
-            pairs = pairs.unionByName(_all_of(met.where(F.col("n") <= few), similarity))
+        if turn < LEADERS:
+            pairs = _unlike(met, "member", "leader", similarity)
+        else:
+            crowd = met.where(F.col("n") > few).select("member.*").distinct()
+            pairs = _all_of(met.where(F.col("n") <= few), similarity)
+            pairs = pairs.unionByName(_crowded(materialise(crowd, "crowd"), sets, similarity, hot))
         pairs = materialise(pairs.distinct(), "pairs")
         links = materialise(_verified(pairs, sets, similarity, hot), "links")
         moved = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), hot)
         moved = materialise(moved, "roots")
         steps.append(moved)
-        # A leader has met all of its bucket.
-        live = led.where(F.col("member.node") != F.col("leader.node")).select("bucket", "member")
-        live = materialise(_renamed(live, moved, hot), "band-members")
-        turn += 1
-        if settled and depth < DEPTH:
-            live = materialise(_divided(live, found, n_bands, depth), "band-members")
-            depth += 1
+        if turn < LEADERS:
+            # A leader has met all of its bucket.
+            live = met.where(F.col("member.node") != F.col("leader.node")).select("bucket", "member")
+            live = materialise(_renamed(live, moved, hot), "band-members")
     root = _roots(steps, hot)
     return found.select("row", "id", "node").join(root, "node").select("row", "id", "root")
 
 
-def _divided(live: DataFrame, found: DataFrame, n_bands: int, depth: int) -> DataFrame:
-    """Members of a crowded bucket by one of several further bands as well.
+def _crowded(crowd: DataFrame, sets: DataFrame, similarity: float, hot: int) -> DataFrame:
+    """Pairs of nodes that crowded buckets hold (node, label, size), all that may be similar, by their rarest shingles.
 
-    Two texts at similarity 0.8 share one of ``n_bands`` / ``DEPTH`` bands with
-    probability 0.95 for every bucket they share.
+    Sets are ordered by how many of the crowd have a shingle. Behind the first
+    shingle that two similar sets share, enough must follow in both; so it is
+    among the first fifth of either at similarity 0.8. A shingle that no other
+    has only counts as a place. Under a shingle, members of the label that most
+    have are compared with others only.
     """
-    share = n_bands // DEPTH
-    further = found.select("node", F.slice("bands", depth * share + 1, share).alias("bands"))
-    # A bucket of one label is done.
-    undone = live.groupBy("bucket").agg(F.min("member.label").alias("low"), F.max("member.label").alias("high"))
-    undone = undone.where("low <> high").select("bucket")
-    each = live.join(undone, "bucket").withColumn("node", F.col("member.node")).join(further, "node")
-    keyed = each.select("member", "bucket", F.posexplode("bands").alias("k", "band"))
-    return keyed.select(F.xxhash64("bucket", "k", "band").alias("bucket"), "member")
+    held = sets.join(crowd, "node").select("node", "label", "size", F.explode("shingles").alias("shingle"))
+    often = materialise(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-shingles")
+    common = join_unique(held, often, ["shingle"], hot_keys(often, ["shingle"], hot), ["node"])
+    ordered = common.groupBy("node", "label", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared")
+    )
+    own = F.col("size") - F.size("shared")
+    # A little less than the bound, as it is worked out in floating point.
+    places = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-6) + 1 - own).cast("int")
+    first = ordered.select(
+        F.struct("node", "label", "size").alias("member"), own.alias("own"),
+        F.posexplode(F.slice("shared", 1, F.greatest(places, F.lit(0)))).alias("k", "s"),
+    )
+    first = first.select(
+        "member", F.col("s.shingle").alias("shingle"), (F.col("member.size") - F.col("own") - F.col("k")).alias("rest")
+    )
+    first = materialise(first, "rare-shingles")
+    labels = first.groupBy("shingle", F.col("member.label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    most = labels.groupBy("shingle").agg(
+        F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")
+    )
+    most = materialise(most.where("labels > 1").drop("labels"), "open-shingles")
+    marked = join_unique(first, most, ["shingle"], hot_keys(most.select("shingle", "n"), ["shingle"], hot), ["member"])
+    marked = materialise(marked.withColumn("pieces", F.ceil(F.col("n") / hot).cast("int")), "open-members")
+    left = marked.where(F.col("member.label") != F.col("most")).select(
+        "shingle", F.col("member").alias("x"), F.col("rest").alias("x_rest"),
+        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+    )
+    right = marked.select(
+        "shingle", F.col("member").alias("y"), F.col("rest").alias("y_rest"), "most",
+        F.pmod(F.xxhash64("member.node"), F.col("pieces")).cast("int").alias("piece"),
+    )
+    need = F.ceil((F.col("x.size") + F.col("y.size")) * (similarity / (1 + similarity)) - 1e-6)
+    once = (F.col("y.label") == F.col("most")) | (F.col("x.node") < F.col("y.node"))
+    other = (F.col("x.label") != F.col("y.label")) & (F.least("x_rest", "y_rest") >= need) & once
+    return _unlike(left.join(right, ["shingle", "piece"]).where(other), "x", "y", similarity)
 
 
 def _roots(steps: list[DataFrame], hot: int) -> DataFrame:
