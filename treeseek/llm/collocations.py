@@ -33,6 +33,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from treeseek.llm.rows import HOT_ROWS, column, sieve, sifted
 from treeseek.operators.skew import first_n, hot_keys, join_unique
-from treeseek.session import materialise, spread
+from treeseek.session import materialise, materialise_texts, spread
 
 LEAST = 100
 LONGEST = 5
@@ -50,12 +51,16 @@ FIRST = 2000
 # A phrase goes if a longer one has at least this share of its occurrences, in percent.
 COVERED = 100
 # Words of a shard; its index takes some 100 bytes a word in one task while it is sorted.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 1_000_000
+# A task has open shards of all its languages, of so many full ones' words together, 4 bytes a word.
+_OPEN = 8
 
 # Phrases of a shard that lie in one row of its tables.
 _ROW = 5_000
 # Rows of an index that are extended together.
 _AT_ONCE = 200_000
+# Splits of the input that one task cuts into shards, if there are enough for all cores.
+_SPLITS = 4
 
 _BREAK = b"."
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -110,12 +115,22 @@ class _Order:
         self.rows = order
         self.row_of = np.empty(n, np.int32)
         self.row_of[order] = np.arange(n, dtype=np.int32)
-        self.transform = symbols[order - 1]
+
+    @cached_property
+    def transform(self) -> np.ndarray:
+        return self.symbols[self.rows - 1]
+
+    @cached_property
+    def earlier(self) -> np.ndarray:
+        """The row that starts one symbol earlier, in the order of the transform."""
         back = np.argsort(self.transform, kind="stable")
-        # The row that starts one symbol earlier, and its reverse: the row without its first symbol.
-        self.earlier = np.empty(n, np.int32)
-        self.earlier[back] = np.arange(n, dtype=np.int32)
-        self.later = back.astype(np.int32)
+        earlier = np.empty(len(back), np.int32)
+        earlier[back] = np.arange(len(back), dtype=np.int32)
+        return earlier
+
+    def without_first(self, rows: np.ndarray) -> np.ndarray:
+        """The rows that start one symbol later in the text."""
+        return self.row_of[(self.rows[rows] + 1) % len(self.rows)]
 
     def start(self, places: np.ndarray, length: int) -> np.ndarray:
         """The first row of the interval of the phrase of ``length`` symbols at each place of the text."""
@@ -175,7 +190,7 @@ class BidirectionalIndex:
 
     def without_first(self, phrases: Intervals) -> np.ndarray:
         """For each phrase a row in the forward interval of the phrase without its first word."""
-        return self.forward.later[phrases.forward]
+        return self.forward.without_first(phrases.forward)
 
 
 def _slices(counts: np.ndarray) -> Iterator[slice]:
@@ -215,11 +230,13 @@ def _extended_part(side: _Order, starts: np.ndarray, others: np.ndarray, counts:
 
 
 def _packed(symbols: np.ndarray) -> bytes:
-    return zlib.compress(symbols.astype("<i4").tobytes(), 1)
+    # The low bytes of all numbers first, the high ones, which are mostly 0, last.
+    return zlib.compress(symbols.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), "<i4")
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 class _Shard:
@@ -279,6 +296,15 @@ def _rows(schema: pa.Schema, shard: int, lang: str, text: np.ndarray, lists: dic
         yield pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
 
 
+def _fewer_tasks(texts: DataFrame) -> DataFrame:
+    """A scan of many small splits over fewer tasks, without a shuffle: a task leaves one unfilled shard a language.
+
+    The phrases that shards have to be told grow with the number of shards.
+    """
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.coalesce(max(2 * cores, texts.rdd.getNumPartitions() // _SPLITS))
+
+
 def _shards(texts: DataFrame, shard_words: int) -> DataFrame:
     """lang and text cut into shards."""
 
@@ -295,7 +321,7 @@ def _shards(texts: DataFrame, shard_words: int) -> DataFrame:
                 shard = open_shards.setdefault(lang, _Shard(lang))
                 shard.add(words)
                 total += len(words) + 1
-                if shard.size >= shard_words or total >= 2 * shard_words:
+                if shard.size >= shard_words or total >= _OPEN * shard_words:
                     # Many languages share the memory of one task.
                     shard = open_shards.pop(max(open_shards, key=lambda k: open_shards[k].size))
                     total -= shard.size
@@ -332,18 +358,23 @@ def _grown(length: int):
         order = np.argsort(phrases.forward)
         phrases = Intervals(phrases.forward[order], phrases.backward[order], phrases.count[order])
         ids = ids[order]
-        longer, parent, _ = index.extend_right(phrases)
-        shorter = index.without_first(longer)
-        end = np.searchsorted(phrases.forward, shorter, side="right") - 1
-        known = (end >= 0) & (shorter < phrases.forward[end] + phrases.count[end])
-        longer = Intervals(longer.forward[known], longer.backward[known], longer.count[known])
-        head, tail = ids[parent[known]], ids[end[known]]
+        found = []
+        for part in _slices(phrases.count):
+            some = Intervals(phrases.forward[part], phrases.backward[part], phrases.count[part])
+            longer, parent, _ = index.extend_right(some)
+            shorter = index.without_first(longer)
+            end = np.searchsorted(phrases.forward, shorter, side="right") - 1
+            known = (end >= 0) & (shorter < phrases.forward[end] + phrases.count[end])
+            longer = Intervals(longer.forward[known], longer.backward[known], longer.count[known])
+            values = (index.places(longer), longer.count.astype(np.int32), ids[part][parent[known]], ids[end[known]])
+            found.append(values)
+        places, counts, head, tail = (np.concatenate(x) for x in zip(*found))
         # A phrase of the next round lies where this round's frequent ones lie.
         kept = covered(text, index, phrases)
         gap = ~kept & np.append(True, kept[:-1])
-        moved = np.cumsum(kept | gap) - 1
+        moved = np.cumsum(kept | gap, dtype=np.int32) - 1
         text = np.append(np.where(kept, text, 0)[kept | gap], 0)
-        lists = {"at": moved[index.places(longer)], "n": longer.count, "head": head, "tail": tail}
+        lists = {"at": moved[places], "n": counts, "head": head, "tail": tail}
         shard, lang = (states.column(c)[0].as_py() for c in ("shard", "lang"))
         return pa.Table.from_batches(_rows(_PHRASES, shard, lang, text, lists), schema=_PHRASES)
 
@@ -392,7 +423,7 @@ def phrases(
     """
     lang = F.coalesce(column(lang_column).cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, column(text_column).alias("text"))
-    state = materialise(_shards(spread(texts), shard_words), "shards")
+    state = materialise_texts(_shards(_fewer_tasks(spread(texts)), shard_words), "shards")
     shards = state.where("is_text").count()
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, shards // 2, 1)
 
