@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted
 from treeseek.operators.skew import hot_keys, join_unique
-from treeseek.session import materialise, spread
+from treeseek.session import materialise, materialise_texts, spread
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -174,7 +174,7 @@ def _judged(
         field(host_column).cast("string").alias("host"),
         field(text_column).alias("text"),
     )
-    examined = materialise(spread(texts).mapInArrow(_examined, _SCHEMA), "examined")
+    examined = materialise_texts(spread(texts).mapInArrow(_examined, _SCHEMA), "examined")
     # A null host differs from all names: names get a mark in front.
     host = F.coalesce(F.concat(F.lit("="), "host"), F.lit(""))
     lines = examined.withColumn("line", F.explode("lines")).select(

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from treeseek.llm.components import components
 from treeseek.llm.rows import HOT_ROWS, field, located, sieve, sifted, without
 from treeseek.operators.skew import hot_keys, join_unique
-from treeseek.session import materialise, materialise_counted, spread
+from treeseek.session import materialise, materialise_counted, materialise_texts, spread
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -352,7 +352,7 @@ def similar_groups(
     """row, id and root of the rows of :func:`located` that have a similar one; root names their group."""
     texts = placed.select("row", field(id_column).alias("id"), field(text_column).alias("text"))
     found = _sketched(spread(texts), words, n_bands).withColumn("node", F.monotonically_increasing_id())
-    found = materialise(found, "sketches")
+    found = materialise_texts(found, "sketches")
     spots = found.select("node", "size", F.explode("bands").alias("bucket"))
     often = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bits = materialise(sieve(often.select(F.xxhash64("bucket").alias("h"))), "shared-bands")
@@ -366,7 +366,7 @@ def similar_groups(
     wanted = materialise(found.join(wanted, "node", "left_semi").select("row", "node"), "alike")
     marked = sifted(texts, F.xxhash64("row"), sieve(wanted.select(F.xxhash64("row").alias("h"))))
     read_again = marked.where("maybe").join(wanted, "row").select("node", "text")
-    sets = materialise(_sets(read_again, words), "shingle-sets")
+    sets = materialise_texts(_sets(read_again, words), "shingle-sets")
 
     # What the anchors link has one label before any bucket is opened.
     alike = _verified(close, sets, similarity, hot)
