@@ -16,7 +16,7 @@ from treeseek.registry import query
 from treeseek.registry.building import CONVERSATION_TYPES, conversation_nodes
 from treeseek.registry.data import TOKENS_SQL, TREE_SQL, document_search, documents, table, tree_nodes
 from treeseek.registry.fulltext import _HIGHLIGHT_SQL, _MISSPELT, _SUGGEST_SQL
-from treeseek.session import materialise, scratch_path, spread
+from treeseek.session import materialise, mounted, scratch_path, spread
 from treeseek.sources import assets, error_sinks, nodes
 from treeseek.sources.node_types import from_table
 
@@ -40,19 +40,26 @@ def scan_all(spark, sf_dir):
     return found.select("workspace", "dimension", "n")
 
 
-# Files that a task writes one after the other: each costs a round trip to the file system, however small it is.
-FILES_A_TASK = 500
+# Files that a task writes or reads one after the other: each costs a round trip to the file system, however small.
+FILES_A_TASK = 8000
 
 
 def _page_files(spark, sf_dir):
-    """Each page as a file, which ends with the line feed that the text sink puts there."""
+    """Each page as a file, which ends with a line feed as the text sink puts it there."""
     path = scratch_path(spark, "page-files")
     pages = spread(table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")))
     tasks = -(-pages.count() // FILES_A_TASK)
     if tasks > pages.rdd.getNumPartitions():
         pages = pages.repartition(tasks)
-    pages.write.partitionBy("page_id").text(path)
-    return assets.read(spark, path, recursiveFileLookup="true", pathGlobFilter="*.txt")
+    if mounted(spark, path):
+        name = F.concat(F.lit("page_id="), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(".txt"))
+        content = F.concat("html", F.lit("\n")).cast("binary")
+        assets.write(pages.select(name.alias("name"), content.alias("content")), path)
+    else:
+        pages.write.partitionBy("page_id").option("maxRecordsPerFile", 1).text(path)
+    files = assets.read(spark, path, recursiveFileLookup="true", pathGlobFilter="*.txt")
+    # Spark counts 4 MB for opening a file and would read a few in a task.
+    return files.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
 
 
 def _page_id():

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeseek.functions.html import plain, visible
+from treeseek.session import TEXTS_AT_ONCE, arrow_rows, mounted
 
 # Fields of an extracted asset.
 ASSET_FIELDS = (
@@ -15,6 +20,43 @@ ASSET_FIELDS = (
 )
 
 
+def write(files: DataFrame, path: str) -> int:
+    """Each row's ``content`` as a file of its own, with ``name`` behind its number in the task; how many there are.
+
+    For a path on a mounted file system that all executors reach: Hadoop's writer for those starts two processes a
+    file to set its mode, which takes many times as long as the file. Each task has a folder, which gets its final
+    name when its files are written, so a task that runs twice leaves them once.
+    """
+    spark = files.sparkSession
+    folder = mounted(spark, path)
+    if folder is None:
+        raise ValueError(f"not on a mounted file system: {path}")
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    named.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(named)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, pending = 0, f"{folder}/_pending/{uuid.uuid4().hex}"
+        for batch in batches:
+            for name, content in zip(batch.column("name"), batch.column("content"), strict=True):
+                if n == 0:
+                    os.makedirs(pending)
+                with open(f"{pending}/{n}-{name}", "xb") as out:
+                    out.write(content.as_py() or b"")
+                n += 1
+        if n:
+            final = f"{folder}/part-{TaskContext.get().partitionId():05d}-files"
+            try:
+                os.rename(pending, final)
+            except OSError:
+                # Another attempt of the task may have ended before.
+                if not os.path.isdir(final):
+                    raise
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    with arrow_rows(spark, TEXTS_AT_ONCE):
+        return files.select("name", "content").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def read(spark: SparkSession, path: str, cap: int | None = None, **options: str) -> DataFrame:
     """Files with their content; with a cap, a file above it keeps its row without content.
 
