@@ -40,15 +40,18 @@ def scan_all(spark, sf_dir):
     return found.select("workspace", "dimension", "n")
 
 
-# Files that a task writes or reads one after the other: each costs a round trip to the file system, however small.
+# Files that a task writes one after the other, and that it reads: each costs a round trip to the file system, however
+# small. Spark deals them out by size, so the first tasks have the long ones, which take longest to take apart.
 FILES_A_TASK = 8000
+FILES_READ_A_TASK = 500
 
 
 def _page_files(spark, sf_dir):
     """Each page as a file, which ends with a line feed as the text sink puts it there."""
     path = scratch_path(spark, "page-files")
     pages = spread(table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")))
-    tasks = -(-pages.count() // FILES_A_TASK)
+    n = pages.count()
+    tasks = -(-n // FILES_A_TASK)
     if tasks > pages.rdd.getNumPartitions():
         pages = pages.repartition(tasks)
     if mounted(spark, path):
@@ -59,7 +62,7 @@ def _page_files(spark, sf_dir):
         pages.write.partitionBy("page_id").option("maxRecordsPerFile", 1).text(path)
     files = assets.read(spark, path, recursiveFileLookup="true", pathGlobFilter="*.txt")
     # Spark counts 4 MB for opening a file and would read a few in a task.
-    return files.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
+    return files.coalesce(max(-(-n // FILES_READ_A_TASK), spark.sparkContext.defaultParallelism))
 
 
 def _page_id():
